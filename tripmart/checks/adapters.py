@@ -3,12 +3,13 @@
 The test data has no trips. Every event becomes one raw trip, all text as in a landed file, with the
 faults the cleaning step must cope with: missing ids and names, times that do not parse, ends before
 or at starts or within the same second, missing coordinates, unknown riders. A third of all trips
-start at one station. Event times of one month are spread over seven.
+start at one station. Event times of one month are spread over seven. Coordinates are whole
+micro-degrees with an exponent, a text that both engines read as the same double.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tripmart.operators.silver import transform_to_silver
 
@@ -19,56 +20,38 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
-def _degrees(micro: Column, sign: str = "") -> Column:
-    """Whole micro-degrees as text, so that both engines print the same digits."""
-    fraction = F.lpad((micro % 1_000_000).cast("string"), 6, "0")
-    return F.concat(F.lit(sign), F.floor(micro / 1_000_000).cast("string"), F.lit("."), fraction)
-
-
 def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    event, user = F.col("event_id"), F.col("user_id")
-    k = F.get_json_object("props", "$.k").cast("long")
-
-    def every(n: int) -> Column:
-        return event % n == 0
-
-    start = F.unix_micros(F.col("ts").cast("timestamp")) + (user % 6) * (31 * 86_400_000_000)
-    seconds = F.floor(F.col("value") * 10) - F.when(every(50), 600).otherwise(0)
-    ride_micros = F.when(every(61), F.lit(1_000)).otherwise(seconds * 1_000_000)
-
-    def stamp(micros: Column) -> Column:
-        return F.date_format(F.timestamp_micros(micros), "yyyy-MM-dd HH:mm:ss.SSSSSS")
-
-    def text(column: Column) -> Column:
-        return column.cast("string")
-
-    start_named, end_named = ~every(31), ~every(29)
-    riders = F.array(*map(F.lit, ("Subscriber", "Customer", "casual", "Guest", None, "Member", "Member")))
-    bike = F.when(F.col("event_type").isin("click", "view"), "Classic_Bike")
-    return events(spark, sf_dir).select(
-        F.when(~every(97), F.concat(F.lit("r"), text(event))).alias("ride_id"),
-        bike.when(F.col("event_type") != "error", "electric_bike").alias("rideable_type"),
-        F.when(every(89), "garbage").otherwise(stamp(start)).alias("started_at"),
-        F.when(every(83), "no time").otherwise(stamp(start + ride_micros)).alias("ended_at"),
-        F.when(
-            start_named,
-            F.when(every(3), HUB).otherwise(F.concat(F.lit("Station "), text(user % 40))),
-        ).alias("start_station_name"),
-        F.when(start_named, F.concat(text(user % 40), F.lit(".10"))).alias("start_station_id"),
-        F.when(end_named, F.concat(F.lit("Station "), text(k % 40))).alias("end_station_name"),
-        F.when(end_named, F.concat(text(k % 40), F.lit(".20"))).alias("end_station_id"),
-        F.when(every(41), "n/a").otherwise(_degrees(40_700_000 + (user % 40) * 3_700)).alias("start_lat"),
-        _degrees(74_020_000 - (user % 7) * 11_300, "-").alias("start_lng"),
-        _degrees(40_700_000 + (k % 40) * 3_700).alias("end_lat"),
-        _degrees(74_020_000 - (k % 7) * 11_300, "-").alias("end_lng"),
-        F.get(riders, (event % 7).cast("int")).alias("member_casual"),
+    began = "unix_micros(cast(ts as timestamp)) + (user_id % 6) * 2678400000000"
+    lasted = """case when event_id % 61 = 0 then 1000L
+        else (floor(value * 10) - case when event_id % 50 = 0 then 600 else 0 end) * 1000000 end"""
+    derived = events(spark, sf_dir).selectExpr(
+        "event_id",
+        "user_id",
+        "event_type",
+        f"{began} as began",
+        f"{lasted} as lasted",
+        "cast(get_json_object(props, '$.k') as bigint) as k",
     )
-
-
-def _degrees_sql(micro: str, sign: str = "") -> str:
-    return (
-        f"concat('{sign}', cast(({micro}) // 1000000 as varchar), '.', "
-        f"lpad(cast(({micro}) % 1000000 as varchar), 6, '0'))"
+    return derived.selectExpr(
+        "case when event_id % 97 <> 0 then concat('r', event_id) end as ride_id",
+        """case when event_type in ('click', 'view') then 'Classic_Bike'
+           when event_type <> 'error' then 'electric_bike' end as rideable_type""",
+        """case when event_id % 89 = 0 then 'garbage'
+           else cast(timestamp_micros(began) as string) end as started_at""",
+        """case when event_id % 83 = 0 then 'no time'
+           else cast(timestamp_micros(began + lasted) as string) end as ended_at""",
+        f"""case when event_id % 31 = 0 then null when event_id % 3 = 0 then '{HUB}'
+            else concat('Station ', user_id % 40) end as start_station_name""",
+        "case when event_id % 31 <> 0 then concat(user_id % 40, '.10') end as start_station_id",
+        "case when event_id % 29 <> 0 then concat('Station ', k % 40) end as end_station_name",
+        "case when event_id % 29 <> 0 then concat(k % 40, '.20') end as end_station_id",
+        """case when event_id % 41 = 0 then 'n/a'
+           else concat(40700000 + (user_id % 40) * 3700, 'e-6') end as start_lat""",
+        "concat(-74020000 + (user_id % 7) * 11300, 'e-6') as start_lng",
+        "concat(40700000 + (k % 40) * 3700, 'e-6') as end_lat",
+        "concat(-74020000 + (k % 7) * 11300, 'e-6') as end_lng",
+        """case event_id % 7 when 0 then 'Subscriber' when 1 then 'Customer' when 2 then 'casual'
+           when 3 then 'Guest' when 4 then null else 'Member' end as member_casual""",
     )
 
 
@@ -87,20 +70,18 @@ raw as (
     case when event_id % 97 <> 0 then concat('r', cast(event_id as varchar)) end as ride_id,
     case when event_type in ('click', 'view') then 'Classic_Bike'
          when event_type <> 'error' then 'electric_bike' end as rideable_type,
-    case when event_id % 89 = 0 then 'garbage'
-         else strftime(begins, '%Y-%m-%d %H:%M:%S.%f') end as started_at,
-    case when event_id % 83 = 0 then 'no time'
-         else strftime(begins + lasts, '%Y-%m-%d %H:%M:%S.%f') end as ended_at,
+    case when event_id % 89 = 0 then 'garbage' else cast(begins as varchar) end as started_at,
+    case when event_id % 83 = 0 then 'no time' else cast(begins + lasts as varchar) end as ended_at,
     case when event_id % 31 = 0 then null when event_id % 3 = 0 then '{HUB}'
-         else concat('Station ', cast(user_id % 40 as varchar)) end as start_station_name,
-    case when event_id % 31 <> 0 then concat(cast(user_id % 40 as varchar), '.10') end as start_station_id,
-    case when event_id % 29 <> 0 then concat('Station ', cast(k % 40 as varchar)) end as end_station_name,
-    case when event_id % 29 <> 0 then concat(cast(k % 40 as varchar), '.20') end as end_station_id,
-    case when event_id % 41 = 0 then 'n/a' else {_degrees_sql("40700000 + (user_id % 40) * 3700")} end
-      as start_lat,
-    {_degrees_sql("74020000 - (user_id % 7) * 11300", "-")} as start_lng,
-    {_degrees_sql("40700000 + (k % 40) * 3700")} as end_lat,
-    {_degrees_sql("74020000 - (k % 7) * 11300", "-")} as end_lng,
+         else concat('Station ', user_id % 40) end as start_station_name,
+    case when event_id % 31 <> 0 then concat(user_id % 40, '.10') end as start_station_id,
+    case when event_id % 29 <> 0 then concat('Station ', k % 40) end as end_station_name,
+    case when event_id % 29 <> 0 then concat(k % 40, '.20') end as end_station_id,
+    case when event_id % 41 = 0 then 'n/a'
+         else concat(40700000 + (user_id % 40) * 3700, 'e-6') end as start_lat,
+    concat(-74020000 + (user_id % 7) * 11300, 'e-6') as start_lng,
+    concat(40700000 + (k % 40) * 3700, 'e-6') as end_lat,
+    concat(-74020000 + (k % 7) * 11300, 'e-6') as end_lng,
     case event_id % 7 when 0 then 'Subscriber' when 1 then 'Customer' when 2 then 'casual'
          when 3 then 'Guest' when 4 then null else 'Member' end as member_casual
   from raw_events

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, functions as F
 
 EARTH_RADIUS_KM = 6371.0088
@@ -14,9 +16,9 @@ def haversine_km(start_lat: str, start_lng: str, end_lat: str, end_lng: str) ->
     sin_phi = F.sin((phi_b - phi_a) / 2)
     sin_lambda = F.sin((F.radians(end_lng) - F.radians(start_lng)) / 2)
     chord = sin_phi * sin_phi + F.cos(phi_a) * F.cos(phi_b) * sin_lambda * sin_lambda
-    # Rounding can push antipodal points above 1, where asin is NaN and would spoil every average.
-    chord = F.when(chord > 1.0, 1.0).otherwise(chord)
-    return 2 * EARTH_RADIUS_KM * F.asin(F.sqrt(chord))
+    angle = F.asin(F.sqrt(chord))
+    # Rounding can push the chord of antipodes above 1, where asin is NaN and would spoil averages.
+    return 2 * EARTH_RADIUS_KM * F.nanvl(angle, F.lit(math.pi / 2))
 
 
 def grid_edge(coordinate: str) -> Column:

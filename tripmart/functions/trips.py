@@ -14,8 +14,8 @@ def as_timestamp(column: str) -> Column:
 
 
 def as_double(column: str) -> Column:
-    """Text to double, NULL when it is not one."""
-    return F.col(column).try_cast("double")
+    """Text to double, NULL when it is not a number."""
+    return F.nanvl(F.col(column).try_cast("double"), F.lit(None).cast("double"))
 
 
 def rider_type(column: str = "member_casual") -> Column:

@@ -79,6 +79,12 @@ def silver_projection(df: DataFrame) -> DataFrame:
     return df.select(*[column for column in SILVER_COLUMNS if column in df.columns])
 
 
+def clean_trips(df: DataFrame) -> DataFrame:
+    """``keep_valid_trips`` and ``add_duration`` at once: a duration above 0 needs both times, and the
+    end after the start, so one comparison decides and each time is parsed once for it."""
+    return add_duration(df.where(F.col("ride_id").isNotNull()))
+
+
 def transform_to_silver(df: DataFrame) -> DataFrame:
     """Raw or Bronze rows to Silver: projections and filters only, so no shuffle at any size."""
     steps = (
@@ -87,8 +93,7 @@ def transform_to_silver(df: DataFrame) -> DataFrame:
         fill_optional_columns,
         cast_types,
         normalize_values,
-        keep_valid_trips,
-        add_duration,
+        clean_trips,
         add_calendar,
         add_distance,
     )
