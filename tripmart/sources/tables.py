@@ -51,22 +51,25 @@ class Lakehouse:
         return self.read(table).count()
 
     def register(self, schema: str | None = None, tables: Sequence[str] = GOLD_TABLES) -> list[str]:
-        """Make tables known by name; ones already registered stay as they are.
+        """Make tables known by name; ones already registered stay as they are, but for new partitions.
 
-        With a schema they become external tables in it, without one temporary views.
+        With a schema they become external tables in it, without one temporary views. Returns the
+        names added.
         """
         if schema is None:
             for table in tables:
                 self.read(table).createOrReplaceTempView(table)
             return list(tables)
         self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema} LOCATION '{self.root}/schema'")
+        catalog = self.spark.catalog
         added = []
         for table in tables:
             name = f"{schema}.{table}"
-            if self.spark.catalog.tableExists(name):
-                continue
-            self.spark.sql(f"CREATE TABLE {name} USING {self.fmt} LOCATION '{self.path(table)}'")
-            added.append(name)
+            if not catalog.tableExists(name):
+                self.spark.sql(f"CREATE TABLE {name} USING {self.fmt} LOCATION '{self.path(table)}'")
+                added.append(name)
+            if self.fmt == "parquet" and any(column.isPartition for column in catalog.listColumns(name)):
+                catalog.recoverPartitions(name)
         return added
 
 

@@ -71,6 +71,10 @@ def header_columns(header: str) -> list[str]:
     return names
 
 
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def read_zip_csv(spark: SparkSession, path: str, stage: Stage, with_source: bool = False) -> DataFrame:
     """All rows of every ``*.csv`` member of the archives at ``path``, every column text.
 
@@ -84,10 +88,11 @@ def read_zip_csv(spark: SparkSession, path: str, stage: Stage, with_source: bool
     layouts = sorted(lines.select("layout", "header").distinct().collect())
 
     def parsed(layout: str, header: str) -> DataFrame:
-        schema = text_schema(header_columns(header))
+        names = header_columns(header)
+        schema = ", ".join(f"{quoted(name)} string" for name in names)
         rows = lines.where(F.col("layout") == layout)
-        rows = rows.select(SOURCE_FILE, F.from_csv("line", schema.simpleString()[7:-1]).alias("row"))
-        columns = [F.col("row").getField(name).alias(name) for name in schema.names]
+        rows = rows.select(SOURCE_FILE, F.from_csv("line", schema).alias("row"))
+        columns = [F.col("row").getField(name).alias(name) for name in names]
         return rows.select(*columns, *([SOURCE_FILE] if with_source else []))
 
     if not layouts:
