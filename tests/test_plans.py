@@ -43,6 +43,15 @@ def test_month_filter_prunes_partitions(silver):
     assert re.search(r"PushedFilters: \[[^\]]*EqualTo\(member_casual,member\)", text)
 
 
+def test_date_filter_prunes_partitions(silver):
+    chosen = filter_trips(silver, "2024-02-10", "2024-03-20")
+    text = plan(chosen)
+    assert re.search(r"PartitionFilters: \[[^\]]*month#\d+ >= 2024-02[^\]]*month#\d+ <= 2024-03", text)
+    assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(start_date,2024-02-10\)", text)
+    days = {str(row.start_date) for row in chosen.select("start_date").distinct().collect()}
+    assert min(days) >= "2024-02-10" and max(days) <= "2024-03-20"
+
+
 def test_station_filter_reaches_the_scan(silver):
     assert "IsNotNull(start_station_name)" in plan(gold_table(silver, "gold_station_od_pairs"))
 

@@ -206,6 +206,23 @@ def dash_filters_check(spark, sf_dir):
     return build_gold_tables(chosen)[DAILY]
 
 
+@check(
+    "dash_filter_dates",
+    f"""with {SILVER_SQL}, chosen as (
+      select * from silver where start_date between date '2024-02-10' and date '2024-03-20'
+        and start_station_name in ('Station 1', 'Station 2'))
+    {GOLD_SQL[PAIRS].replace("from silver", "from chosen")}""",
+)
+def dash_filter_dates_check(spark, sf_dir):
+    chosen = dashboard.filter_trips(
+        silver_trips(spark, sf_dir),
+        "2024-02-10",
+        "2024-03-20",
+        start_station_name=["Station 1", "Station 2"],
+    )
+    return build_gold_tables(chosen)[PAIRS]
+
+
 @check(
     "dash_kpis",
     f"""with {SILVER_SQL} select count(*) as total_rides, count(distinct month) as total_months,

@@ -94,12 +94,22 @@ def chart_monthly_table(monthly: DataFrame) -> DataFrame:
     return table.orderBy("total_rides", "month")
 
 
-def filter_trips(silver: DataFrame, **chosen: str | Sequence[str]) -> DataFrame:
-    """Silver limited to the chosen values of the dashboard filters; build Gold tables from it.
-
-    The Gold tables lack most filter columns. On a stored Silver table ``month`` reads only the
+def filter_trips(
+    silver: DataFrame,
+    first_date: str | None = None,
+    last_date: str | None = None,
+    **chosen: str | Sequence[str],
+) -> DataFrame:
+    """Silver limited to the dashboard filters; build Gold tables from it.
+
+    Dates are ``yyyy-MM-dd``, both included; the other filters take one value or several. The Gold
+    tables lack most filter columns. On a stored Silver table ``month`` and the dates read only the
     partitions asked for.
     """
+    if first_date is not None:
+        silver = silver.where((F.col("month") >= first_date[:7]) & (F.col("start_date") >= first_date))
+    if last_date is not None:
+        silver = silver.where((F.col("month") <= last_date[:7]) & (F.col("start_date") <= last_date))
     for column, values in chosen.items():
         if column not in FILTER_COLUMNS:
             raise ValueError(f"No filter on {column}; choose from {FILTER_COLUMNS}")

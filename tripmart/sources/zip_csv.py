@@ -33,8 +33,9 @@ def _member_lines(archive: zipfile.ZipFile, member: str) -> Iterator[list[str]]:
             yield batch
 
 
-def _archive_lines(path: str, content: bytes) -> Iterator[pa.RecordBatch]:
-    with zipfile.ZipFile(io.BytesIO(content)) as archive:
+def _archive_lines(path: str, content: pa.Buffer) -> Iterator[pa.RecordBatch]:
+    # The archive is read in place from the Arrow buffer; only one batch of lines is unpacked at once.
+    with zipfile.ZipFile(pa.BufferReader(content)) as archive:
         members = [name for name in archive.namelist() if name.lower().endswith(".csv")]
         if not members:
             raise RuntimeError(f"No CSV files found inside {path}")
@@ -59,7 +60,7 @@ def _archive_lines(path: str, content: bytes) -> Iterator[pa.RecordBatch]:
 def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for path, content in zip(batch.column("path"), batch.column("content")):
-            yield from _archive_lines(path.as_py(), content.as_py())
+            yield from _archive_lines(path.as_py(), content.as_buffer())
 
 
 def header_columns(header: str) -> list[str]:
