@@ -1,4 +1,5 @@
 import pytest
+from hypothesis import given, strategies as st
 
 from tripmart.functions.naming import OLD_SPELLINGS, TRIP_COLUMNS, canonical_name, canonical_names, normalize_columns
 
@@ -39,3 +40,16 @@ def test_repeated_names_stay_apart():
 def test_values_stay_with_their_column(spark):
     df = spark.createDataFrame([("old", "new", "x")], ["starttime", "started_at", "v.1"])
     assert normalize_columns(df).first().asDict() == {"started_at": "old", "started_at_1": "new", "v_1": "x"}
+
+
+@given(st.lists(st.text(alphabet="aA1 _-.é#", max_size=8), max_size=12))
+def test_names_are_unique_and_stable(names):
+    result = canonical_names(names)
+    assert len(result) == len(names) == len(set(result))
+    assert [canonical_name(canonical_name(name)) for name in names] == [canonical_name(name) for name in names]
+
+
+@given(st.sampled_from(TRIP_COLUMNS), st.sampled_from(["", " ", "_", "-", " / "]), st.booleans())
+def test_separators_and_case_do_not_matter(column, separator, upper):
+    written = separator.join(column.split("_"))
+    assert canonical_name(written.upper() if upper else written) == column

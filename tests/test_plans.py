@@ -9,6 +9,7 @@ from tripmart.operators import panel as panels
 from tripmart.operators.gold import MARTS, gold_table
 from tripmart.operators.panel import PanelOptions
 from tripmart.operators.silver import transform_to_silver
+from tripmart.plans import serving
 from tripmart.plans.dashboard import filter_trips
 from tripmart.session import Stage
 from tripmart.sources.tables import Lakehouse
@@ -56,6 +57,12 @@ def test_station_filter_reaches_the_scan(silver):
     assert "IsNotNull(start_station_name)" in plan(gold_table(silver, "gold_station_od_pairs"))
 
 
+def test_top_queries_keep_few_rows_per_task_and_sort_once(silver):
+    text = plan(serving.top_days(gold_table(silver, "gold_daily_rides")))
+    assert "TakeOrderedAndProject(limit=10" in text
+    assert text.count("Exchange") == 1 and "Sort [" not in text
+
+
 def test_cleaning_never_shuffles(spark):
     text = plan(transform_to_silver(raw_trips(spark, SF)))
     assert "Exchange" not in text and "Python" not in text

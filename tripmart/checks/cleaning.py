@@ -30,13 +30,18 @@ SILVER_SELECT = f"""
   start_station_name, start_station_id, end_station_name, end_station_id,
   start_lat, start_lng, end_lat, end_lng, member_casual, trip_duration_minutes,
   {day_text("start_date")} as start_date, start_hour, day_of_week, day_of_week_num, month, is_weekend,
-  distance_km, 'silver' as data_layer"""
+  round(distance_km, 9) as distance_km, 'silver' as data_layer"""
 
 
 def typed_trips(spark, sf_dir) -> DataFrame:
     return silver.normalize_values(silver.cast_types(raw_trips(spark, sf_dir)))
 
 
+def nano_distance(df: DataFrame) -> DataFrame:
+    """Sines differ between engines in the last bit; distances are compared to nine digits."""
+    return df.withColumn("distance_km", F.round("distance_km", 9))
+
+
 def message_of(step, df: DataFrame) -> str:
     try:
         step(df)
@@ -160,12 +165,12 @@ def date_parts_check(spark, sf_dir):
 
 @check("haversine_km", f"with {SILVER_SQL} select ride_id, round(distance_km, 9) as distance_km from silver")
 def haversine_km_check(spark, sf_dir):
-    return silver_trips(spark, sf_dir).select("ride_id", F.round("distance_km", 9).alias("distance_km"))
+    return nano_distance(silver_trips(spark, sf_dir)).select("ride_id", "distance_km")
 
 
 @check("silver_transform", f"with {SILVER_SQL} select {SILVER_SELECT} from silver")
 def silver_transform_check(spark, sf_dir):
-    return silver_trips(spark, sf_dir)
+    return nano_distance(silver_trips(spark, sf_dir))
 
 
 @check(

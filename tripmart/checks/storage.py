@@ -5,14 +5,13 @@ from __future__ import annotations
 import uuid
 import zipfile
 from functools import reduce
-from pathlib import Path
-from urllib.parse import urlparse
 
 import pandas as pd
+from pyarrow.fs import FileSystem
 from pyspark.sql import DataFrame, functions as F
 
 from tripmart.checks.adapters import RAW_SQL, SILVER_SQL, raw_trips, silver_trips
-from tripmart.checks.cleaning import SILVER_SELECT
+from tripmart.checks.cleaning import SILVER_SELECT, nano_distance
 from tripmart.checks.marts import GOLD_SQL
 from tripmart.checks.registry import check, time_text
 from tripmart.functions.naming import TRIP_COLUMNS
@@ -44,14 +43,15 @@ def land_csv(raw: DataFrame, folder: str) -> str:
 
 
 def land_zip(raw: DataFrame, folder: str) -> str:
-    """Raw trips as ZIP archives, one per partition, with a file that is not CSV beside the data."""
-    Path(folder).mkdir(parents=True)
+    """Raw trips as ZIP archives, one per partition, with files that are not trips beside the data."""
     lines = raw.select(F.to_csv(F.struct(*raw.columns)).alias("line"))
     header = ",".join(raw.columns)
 
     def pack(batches):
-        path = f"{folder}/{uuid.uuid4().hex}.zip"
-        with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as archive:
+        shared, path = FileSystem.from_uri(folder.replace("s3a://", "s3://"))
+        shared.create_dir(path)
+        path = f"{path}/{uuid.uuid4().hex}.zip"
+        with shared.open_output_stream(path) as out, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as archive:
             archive.writestr("readme.txt", "not a table")
             archive.writestr("__MACOSX/._trips.csv", "not a table")
             with archive.open("data/trips.CSV", "w") as member:
@@ -89,8 +89,8 @@ def src_raw_csv_check(spark, sf_dir):
 @check("src_zip_csv", f"with {RAW_SQL} select * from raw")
 def src_zip_csv_check(spark, sf_dir):
     stage = Stage(spark)
-    folder = land_zip(raw_trips(spark, sf_dir), urlparse(stage.path("landing")).path)
-    return read_zip_csv(spark, f"file:{folder}", stage).select(*TRIP_COLUMNS)
+    folder = land_zip(raw_trips(spark, sf_dir), stage.path("landing"))
+    return read_zip_csv(spark, folder, stage).select(*TRIP_COLUMNS)
 
 
 @check(
@@ -108,13 +108,16 @@ def bronze_ingest_check(spark, sf_dir):
     )
 
 
-@check("tbl_overwrite_schema", f"with {SILVER_SQL} select ride_id, month, distance_km from silver")
+@check(
+    "tbl_overwrite_schema",
+    f"with {SILVER_SQL} select ride_id, month, round(distance_km, 9) as distance_km from silver",
+)
 def tbl_overwrite_schema_check(spark, sf_dir):
     lakehouse = fresh_lakehouse(spark)
     silver = silver_trips(spark, sf_dir)
     lakehouse.write(silver.select("ride_id", "member_casual"), "silver")
     lakehouse.write(silver.select("ride_id", "month", "distance_km"), "silver")
-    return lakehouse.read("silver")
+    return nano_distance(lakehouse.read("silver"))
 
 
 @check(
@@ -129,7 +132,7 @@ def tbl_partitioned_write_check(spark, sf_dir):
 
 @check("tbl_read", f"with {SILVER_SQL} select {SILVER_SELECT} from silver")
 def tbl_read_check(spark, sf_dir):
-    return stored_silver(spark, sf_dir).read("silver")
+    return nano_distance(stored_silver(spark, sf_dir).read("silver"))
 
 
 @check(
@@ -148,7 +151,7 @@ def silver_write_check(spark, sf_dir):
 def export_silver_parquet_check(spark, sf_dir):
     path = Stage(spark).path("export")
     export_parquet(silver_trips(spark, sf_dir), path)
-    return spark.read.parquet(path)
+    return nano_distance(spark.read.parquet(path))
 
 
 @check(
