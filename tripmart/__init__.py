@@ -30,7 +30,7 @@ from tripmart.operators.quality import quality_summary, require_non_empty, valid
 from tripmart.operators.silver import transform_to_silver, write_silver
 from tripmart.plans.medallion import run_lakehouse
 from tripmart.plans.serving import preview_gold
-from tripmart.session import Stage, build_session, shuffle_partitions
+from tripmart.session import Stage, build_session, cluster_settings, shuffle_partitions
 from tripmart.sources.raw_csv import read_raw_csv
 from tripmart.sources.tables import Lakehouse, export_parquet, read_trip_starts
 from tripmart.sources.zip_csv import read_zip_csv
@@ -48,6 +48,7 @@ __all__ = [
     "build_rush_panel",
     "build_session",
     "canonical_name",
+    "cluster_settings",
     "confusion_matrix",
     "export_parquet",
     "fit_calendar_model",

@@ -39,6 +39,19 @@ def shuffle_partitions(shuffled_bytes: int, slots: int) -> int:
     return max(slots, math.ceil(shuffled_bytes / TARGET_PARTITION_BYTES))
 
 
+def cluster_settings(input_bytes: int, shuffled_bytes: int, slots: int) -> dict[str, str]:
+    """Scan and shuffle sizes for a large run, to pass to ``build_session``.
+
+    Scans keep Spark's 128 MB splits until every slot has some 50 of them, and then read larger ones,
+    up to 1 GB, so that 100 TB are some 100,000 tasks and not close to a million.
+    """
+    split = min(max(input_bytes // (slots * 50), TARGET_PARTITION_BYTES), 8 * TARGET_PARTITION_BYTES)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.shuffle.partitions": str(shuffle_partitions(shuffled_bytes, slots)),
+    }
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, named by the cluster in ``spark.checkpoint.dir``.
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+import hashlib
 import io
 import zipfile
 from collections.abc import Iterator
@@ -15,24 +16,45 @@ from tripmart.session import Stage
 from tripmart.sources.raw_csv import SOURCE_FILE, text_schema
 
 LINES_PER_BATCH = 20_000
-LINE_SCHEMA = f"{SOURCE_FILE} string, header string, line string"
+LINE_SCHEMA = pa.schema([(name, pa.string()) for name in (SOURCE_FILE, "layout", "header", "line")])
+SPARK_LINE_SCHEMA = ", ".join(f"{name} string" for name in LINE_SCHEMA.names)
 
 
 def _member_lines(archive: zipfile.ZipFile, member: str) -> Iterator[list[str]]:
-    """Non-blank lines of one member in batches, unpacked as they are read."""
+    """Non-blank lines of one member in batches, unpacked as they are read; the header comes alone."""
     with archive.open(member) as raw:
         batch: list[str] = []
+        limit = 1
         for line in io.TextIOWrapper(raw, encoding="utf-8-sig", errors="replace"):
             line = line.rstrip("\n")
             if line.strip():
                 batch.append(line)
-            if len(batch) == LINES_PER_BATCH:
+            if len(batch) == limit:
                 yield batch
-                batch = []
+                batch, limit = [], LINES_PER_BATCH
         if batch:
             yield batch
 
 
+def _member_batches(archive: zipfile.ZipFile, member: str, source: str) -> Iterator[pa.RecordBatch]:
+    """One row for the header, without a line, and then rows for the lines, without the header."""
+    batches = _member_lines(archive, member)
+    for header in next(batches, []):
+        layout = hashlib.md5(header.encode()).hexdigest()
+        yield pa.RecordBatch.from_pylist(
+            [{SOURCE_FILE: source, "layout": layout, "header": header}], LINE_SCHEMA
+        )
+        for lines in batches:
+            count = len(lines)
+            columns = [
+                pa.repeat(pa.scalar(source), count),
+                pa.repeat(pa.scalar(layout), count),
+                pa.nulls(count, pa.string()),
+                pa.array(lines, pa.string()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, schema=LINE_SCHEMA)
+
+
 def _archive_lines(path: str, content: pa.Buffer) -> Iterator[pa.RecordBatch]:
     # The archive is read in place from the Arrow buffer; only one batch of lines is unpacked at once.
     with zipfile.ZipFile(pa.BufferReader(content)) as archive:
@@ -41,20 +63,8 @@ def _archive_lines(path: str, content: pa.Buffer) -> Iterator[pa.RecordBatch]:
             raise RuntimeError(f"No CSV files found inside {path}")
         for member in members:
             name = member.rsplit("/", 1)[-1]
-            if name.startswith((".", "_")):
-                continue
-            header = None
-            for lines in _member_lines(archive, member):
-                if header is None:
-                    header, lines = lines[0], lines[1:]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.repeat(pa.scalar(f"{path}/{name}"), len(lines)),
-                        pa.repeat(pa.scalar(header), len(lines)),
-                        pa.array(lines, pa.string()),
-                    ],
-                    names=[SOURCE_FILE, "header", "line"],
-                )
+            if not name.startswith((".", "_")):
+                yield from _member_batches(archive, member, f"{path}/{name}")
 
 
 def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -84,14 +94,15 @@ def read_zip_csv(spark: SparkSession, path: str, stage: Stage, with_source: bool
     Rows of members with the same file name are all kept.
     """
     archives = spark.read.format("binaryFile").load(path).select("path", "content")
-    unpacked = archives.mapInArrow(_unpack, LINE_SCHEMA).withColumn("layout", F.md5("header"))
+    unpacked = archives.mapInArrow(_unpack, SPARK_LINE_SCHEMA)
     lines = stage.table(unpacked, "unzipped", partition_by=("layout",))
-    layouts = sorted(lines.select("layout", "header").distinct().collect())
+    headers = lines.where(F.col("header").isNotNull())
+    layouts = sorted(headers.select("layout", "header").distinct().collect())
 
     def parsed(layout: str, header: str) -> DataFrame:
         names = header_columns(header)
         schema = ", ".join(f"{quoted(name)} string" for name in names)
-        rows = lines.where(F.col("layout") == layout)
+        rows = lines.where((F.col("layout") == layout) & F.col("line").isNotNull())
         rows = rows.select(SOURCE_FILE, F.from_csv("line", schema).alias("row"))
         columns = [F.col("row").getField(name).alias(name) for name in names]
         return rows.select(*columns, *([SOURCE_FILE] if with_source else []))
