@@ -182,3 +182,4 @@ def test_map_of_an_hour(scored_hours, places):
     }
     assert {row.predicted_label for row in rows if row.area_id in "de"} == {evaluation.RUSH_TEXT}
     assert {row.actual_label for row in rows} == {evaluation.RUSH_TEXT}
+    assert {(row.map_lat, row.map_lng) for row in rows} == {(42.0, -73.0)}

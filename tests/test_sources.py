@@ -42,6 +42,12 @@ def test_columns_follow_headers_not_positions(spark, landing):
     assert as_dicts(read_raw_csv(spark, landing)) == EXPECTED
 
 
+def test_blank_and_repeated_headers(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("ride_id,,Ride_ID\n1,x,2\n")
+    rows = read_raw_csv(spark, str(tmp_path))
+    assert tuple(rows.first()) == ("1", "x", "2") and len(set(map(str.lower, rows.columns))) == 3
+
+
 def test_source_file_is_kept(spark, landing):
     rows = read_raw_csv(spark, landing, with_source=True).collect()
     assert {row.ride_id: row.source_file.rsplit("/", 1)[-1] for row in rows} == {

@@ -513,10 +513,12 @@ def top_rush_at_hour_check(spark, sf_dir):
       when y_prob < 0.8 then 'orange' else 'red' end as color, demand_count, rush_threshold,
     case when is_rush_area = 1 then '🔴 Cao điểm' else '🟢 Bình thường' end as actual_label,
     case when y_pred = 1 then '🔴 Cao điểm' else '🟢 Bình thường' end as predicted_label,
-    {half_up("y_prob", 4)} as probability from at_hour""",
+    {half_up("y_prob", 4)} as probability, round(avg(lat) over (), 6) as map_lat,
+    round(avg(lng) over (), 6) as map_lng from at_hour""",
 )
 def rush_map_layer_check(spark, sf_dir):
-    return _rounded(evaluation.rush_map_layer(*scored_with_hour(spark, sf_dir)), "lat", "lng")
+    layer = evaluation.rush_map_layer(*scored_with_hour(spark, sf_dir))
+    return _rounded(layer, "lat", "lng", "map_lat", "map_lng")
 
 
 @check("top_rush_model")

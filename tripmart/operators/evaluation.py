@@ -214,12 +214,15 @@ def probability_color(probability: str = "y_prob") -> Column:
 
 
 def rush_map_layer(scored: DataFrame, hour: str | Column, centroids: DataFrame) -> DataFrame:
-    """Circle per area at an hour: place, colour, and the values and texts shown for it."""
+    """Circle per area at an hour: place, colour, the values and texts shown for it, and the centre of
+    the whole map."""
 
     def text(column: str) -> Column:
         return F.when(F.col(column) == 1, RUSH_TEXT).otherwise(OTHER_TEXT)
 
-    return scored_hour(scored, hour, centroids).select(
+    rows = scored_hour(scored, hour, centroids)
+    center = rows.agg(F.avg("lat").alias("map_lat"), F.avg("lng").alias("map_lng"))
+    return rows.select(
         "area_id",
         "lat",
         "lng",
@@ -230,4 +233,5 @@ def rush_map_layer(scored: DataFrame, hour: str | Column, centroids: DataFrame)
         text("is_rush_area").alias("actual_label"),
         text("y_pred").alias("predicted_label"),
         F.round("y_prob", 4).alias("probability"),
+        *[center.select(name).scalar().alias(name) for name in center.columns],
     )

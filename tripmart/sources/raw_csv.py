@@ -48,15 +48,18 @@ def read_raw_csv(
     ``columns``, pass it: no first lines are read, and the scan itself fails on any other header.
     """
 
-    def scan(header: Sequence[str], paths: str | list[str]) -> DataFrame:
-        rows = _reader(spark).option("enforceSchema", False).schema(text_schema(header)).csv(paths)
+    def scan(header: Sequence[str], paths: str | list[str], header_known: bool) -> DataFrame:
+        # With enforceSchema off, Spark compares the schema to the header of every file it reads.
+        reader = _reader(spark).option("enforceSchema", header_known)
+        rows = reader.schema(text_schema(header)).csv(paths)
         if with_source:
             rows = rows.select("*", F.col("_metadata.file_path").alias(SOURCE_FILE))
         return rows
 
     if columns is not None:
-        return scan(columns, path)
-    scans = [scan(header, files) for header, files in sorted(file_layouts(spark, path).items())]
+        return scan(columns, path, header_known=False)
+    layouts = file_layouts(spark, path)
+    scans = [scan(header, files, header_known=True) for header, files in sorted(layouts.items())]
     if not scans:
         extra = [SOURCE_FILE] if with_source else []
         return spark.createDataFrame([], text_schema(extra))

@@ -5,16 +5,21 @@ from __future__ import annotations
 import csv
 import hashlib
 import io
+import sys
 import zipfile
 from collections.abc import Iterator
 from functools import reduce
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tripmart.session import Stage
 from tripmart.sources.raw_csv import SOURCE_FILE, text_schema
 
+# Functions that run in tasks are sent along with the job: executors need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 LINES_PER_BATCH = 20_000
 LINE_SCHEMA = pa.schema([(name, pa.string()) for name in (SOURCE_FILE, "layout", "header", "line")])
 SPARK_LINE_SCHEMA = ", ".join(f"{name} string" for name in LINE_SCHEMA.names)
