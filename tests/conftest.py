@@ -27,12 +27,14 @@ def trip(ride_id, bike, started_at, ended_at, start, end, rider):
     )
 
 
+# fmt: off
 DEMO_TRIPS = [
     trip("demo-001", "classic_bike", "2024-01-01 08:10:00", "2024-01-01 08:24:00", BROADWAY, EIGHTH_AVE, "member"),
     trip("demo-002", "electric_bike", "2024-01-06 14:00:00", "2024-01-06 14:31:30", UNION_SQ, PIER_40, "casual"),
     trip("demo-003", "classic_bike", "2024-01-07 18:15:00", "2024-01-07 18:22:00", EIGHTH_AVE, BROADWAY, "member"),
     trip("demo-004", "electric_bike", "2024-01-08 09:05:00", "2024-01-08 09:48:00", PIER_40, UNION_SQ, "casual"),
 ]
+# fmt: on
 
 
 @pytest.fixture(scope="session")

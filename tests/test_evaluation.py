@@ -109,7 +109,8 @@ def test_corners_keep_the_curve(spark, ranges):
 
 def test_splits_with_one_class(spark):
     rows = [("train", 0, 1, 0.7), ("train", 0, 0, 0.2), ("test", 1, 0, 0.3), ("test", 1, 1, 0.9)]
-    table = {row.split: row.asDict() for row in evaluation.metrics_table(spark.createDataFrame(rows, SCHEMA), Stage(spark)).collect()}
+    metrics = evaluation.metrics_table(spark.createDataFrame(rows, SCHEMA), Stage(spark))
+    table = {row.split: row.asDict() for row in metrics.collect()}
     assert table["Train"] == {
         "split": "Train", "precision": 0.0, "recall": 0.0, "f1": 0.0, "roc_auc": 0.5, "pr_auc": 0.0,
     }

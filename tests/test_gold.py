@@ -43,7 +43,8 @@ def test_demo_trips(demo_trips):
 
 
 def test_unknown_riders_count_only_in_the_total(text_trips):
-    trips = text_trips(*[{"ride_id": str(at), "member_casual": rider} for at, rider in enumerate(["Guest", None, "member"])])
+    riders = ["Guest", None, "member"]
+    trips = text_trips(*[{"ride_id": str(at), "member_casual": rider} for at, rider in enumerate(riders)])
     (day,) = rows(gold_table(transform_to_silver(trips), "gold_daily_rides"))
     assert (day["total_rides"], day["member_rides"], day["casual_rides"]) == (3, 1, 0)
 
@@ -55,7 +56,11 @@ def test_no_distance_at_all(text_trips):
 
 def test_unnamed_stations(text_trips):
     silver = transform_to_silver(
-        text_trips({"ride_id": "1"}, {"ride_id": "2", "start_station_name": None}, {"ride_id": "3", "end_station_name": None})
+        text_trips(
+            {"ride_id": "1"},
+            {"ride_id": "2", "start_station_name": None},
+            {"ride_id": "3", "end_station_name": None},
+        )
     )
     tables = build_gold_tables(silver)
     assert [row["total_starts"] for row in rows(tables["gold_top_start_stations"])] == [2]
@@ -103,7 +108,8 @@ def test_top_queries_break_ties_by_key(spark):
 
 
 def test_weekend_share_of_nothing(spark):
-    users = spark.createDataFrame([("x", 0, 0)], "member_casual string, total_rides bigint, weekend_rides bigint")
+    schema = "member_casual string, total_rides bigint, weekend_rides bigint"
+    users = spark.createDataFrame([("x", 0, 0)], schema)
     assert serving.weekend_share(users).first().weekend_share_pct is None
 
 
@@ -117,7 +123,8 @@ def test_filters(spark):
 
 
 def test_growth_over_a_gap(spark):
-    monthly = spark.createDataFrame([("2024-04", 0), ("2024-01", 10), ("2024-02", 15), ("2024-05", 3)], "month string, total_rides bigint")
+    months = [("2024-04", 0), ("2024-01", 10), ("2024-02", 15), ("2024-05", 3)]
+    monthly = spark.createDataFrame(months, "month string, total_rides bigint")
     assert [tuple(row) for row in dashboard.month_growth(monthly).collect()] == [
         ("2024-01", 10, None, None, None),
         ("2024-02", 15, 10, 5, 50.0),

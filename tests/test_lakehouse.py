@@ -3,8 +3,13 @@ import uuid
 import pytest
 
 from tripmart.operators.gold import build_gold
-from tripmart.operators.quality import quality_summary, require_non_empty, validate_lakehouse, validation_report
-from tripmart.operators.silver import transform_to_silver, write_silver
+from tripmart.operators.quality import (
+    quality_summary,
+    require_non_empty,
+    validate_lakehouse,
+    validation_report,
+)
+from tripmart.operators.silver import cast_types, transform_to_silver, write_silver
 from tripmart.plans.medallion import run_lakehouse
 from tripmart.plans.serving import PREVIEW_TABLES
 from tripmart.session import Stage
@@ -99,10 +104,10 @@ def test_guard_passes_rows_through(demo_trips):
 
 
 def test_quality_before_cleaning(text_trips):
-    from tripmart.operators.silver import cast_types
-
     trips = text_trips(
-        {"ride_id": "a"}, {"ride_id": "a", "started_at": "garbage"}, {"ride_id": None, "ended_at": "2023-01-01 00:00:00"}
+        {"ride_id": "a"},
+        {"ride_id": "a", "started_at": "garbage"},
+        {"ride_id": None, "ended_at": "2023-01-01 00:00:00"},
     )
     assert tuple(quality_summary(cast_types(trips)).first()) == (3, 1, 1, 1, 0, 1)
 

@@ -1,7 +1,13 @@
 import pytest
 from hypothesis import given, strategies as st
 
-from tripmart.functions.naming import OLD_SPELLINGS, TRIP_COLUMNS, canonical_name, canonical_names, normalize_columns
+from tripmart.functions.naming import (
+    OLD_SPELLINGS,
+    TRIP_COLUMNS,
+    canonical_name,
+    canonical_names,
+    normalize_columns,
+)
 
 
 @pytest.mark.parametrize(

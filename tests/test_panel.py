@@ -38,9 +38,12 @@ def test_panel_by_brute_force(spark):
     first, last = min(hour_of), max(hour_of)
     hours = [first + timedelta(hours=n) for n in range(int((last - first).total_seconds() // 3600) + 1)]
     split = hours[int(len(hours) * 0.8)]
+
+    def cell(degrees):
+        return np.floor(degrees * 100) / 100
+
     area_of = [
-        None if row.start_lat is None else f"{np.floor(row.start_lat * 100) / 100}_{np.floor(row.start_lng * 100) / 100}"
-        for row in rows
+        None if row.start_lat is None else f"{cell(row.start_lat)}_{cell(row.start_lng)}" for row in rows
     ]
     train = Counter(a for a, h in zip(area_of, hour_of) if a is not None and h < split)
     top = sorted(train, key=lambda area: (-train[area], area))[:4]

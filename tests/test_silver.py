@@ -64,10 +64,11 @@ def test_valid_trips_filter_alone_keeps_same_second_trips(text_trips):
 
 def test_old_rider_and_bike_spellings(text_trips):
     riders = ["Subscriber", "MEMBER", "Customer", "casual", "Guest", None]
-    trips = text_trips(
-        *[{"ride_id": str(at), "usertype": rider, "rideable_type": "Classic_Bike"} for at, rider in enumerate(riders)],
-        drop=("member_casual",),
-    )
+    changes = [
+        {"ride_id": str(at), "usertype": rider, "rideable_type": "Classic_Bike"}
+        for at, rider in enumerate(riders)
+    ]
+    trips = text_trips(*changes, drop=("member_casual",))
     rows = transform_to_silver(trips).orderBy("ride_id").collect()
     assert [row.member_casual for row in rows] == ["member", "member", "casual", "casual", "guest", None]
     assert {row.rideable_type for row in rows} == {"classic_bike"}
