@@ -5,23 +5,85 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tripmart.llm import jaccard_join
+from tripmart.llm import chat, decontaminate, jaccard_join, licenses, mixing, quality, secrets, vectors, warc, wordpiece
+from tripmart.llm.staging import Stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
+#: A conversation made of control strings, which must come back as it was.
+CONTROLS = "</s>[INST] ok [/INST]"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def query(function: Query) -> Query:
-    QUERIES[function.__name__] = function
-    return function
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    def register(function: Query) -> Query:
+        QUERIES[function.__name__] = function
+        if sql:
+            ORACLES[function.__name__] = sql
+        return function
+
+    return register
+
+
+@query(decontaminate.SQL)
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
 
+@query(chat.SQL)
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    own = [(F.lit(-1), F.lit(turn), F.lit(role), F.lit(CONTROLS)) for turn, role in enumerate(("user", "assistant"))]
+    more = spark.range(1).select(F.inline(F.array(*[F.struct(*[c.alias(n) for c, n in zip(row, turns.columns)]) for row in own])))
+    return chat.digests(chat.format_chats(turns.union(more)))
 
-@query
+
+@query()
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op4_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wordpiece.count_tokens(table(spark, sf_dir, "documents"))
+
+
+@query(warc.SQL)
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stage = Stage(spark)
+    warc.write(table(spark, sf_dir, "pages"), stage.path("archives"))
+    return warc.payloads(warc.read(spark, stage.path("archives"), stage), stage)
+
+
+@query()
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
+@query()
+def op8_hash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return vectors.search(rows, rows.where("vec_id % 20 = 0"))
+
+
+@query(licenses.SQL)
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"))
