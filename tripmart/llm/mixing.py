@@ -127,7 +127,7 @@ def mix(docs: DataFrame, stage: Stage | None = None, slots: int = SLOTS) -> Data
 
     digest = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
     bucket = F.floor(F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") / (2**32 // BUCKETS))
-    named = rows.withColumn("digest", digest).join(sources, F.col("source").eqNullSafe(sources["source"])).drop(sources["source"])
+    named = rows.withColumn("digest", digest).join(sources.withColumnRenamed("source", "name"), F.col("source").eqNullSafe(F.col("name")))
     placed = _offsets(named.where("size > 0"), "rank", "size", [F.col(c) for c in ("digest", "doc_id", "size")], bucket)
     placed = stage.table(placed.select("rank", "doc_id", "size", "source_size", "target", "before").withColumn("row", F.monotonically_increasing_id()), "placed")
     pieces = placed.withColumn("block", F.explode(F.sequence(F.floor(F.col("before") / step), F.floor((F.col("before") + F.col("size") - 1) / step))))

@@ -25,6 +25,7 @@ NULL texts count as empty. Positions are code points, ends exclusive. Spans are
 from __future__ import annotations
 
 import string
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -51,6 +52,11 @@ REDACTED = "[SECRET]"
 _SPAN = "array<struct<start:int,kind:int,end:int>>"
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once; named in a lambda itself it would be for every element."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def _prefix(lengths: Column) -> Column:
     """0 and the running totals of a short array."""
     return F.aggregate(
@@ -60,21 +66,29 @@ def _prefix(lengths: Column) -> Column:
 
 def _before(lengths: Column) -> Column:
     """The total before each element, in blocks, as a growing array is copied at every step."""
-    count = F.ceil(F.size(lengths) / F.lit(BLOCK)).cast("int")
-    parts = F.transform(F.sequence(F.lit(1), count), lambda b: F.slice(lengths, (b - 1) * BLOCK + 1, F.lit(BLOCK)))
-    totals = _prefix(F.transform(parts, lambda p: F.aggregate(p, F.lit(0), lambda a, x: a + x)))
-    inside = F.zip_with(parts, F.slice(totals, F.lit(1), count), lambda p, base: F.transform(F.slice(_prefix(p), F.lit(1), F.size(p)), lambda v: v + base))
-    return F.flatten(inside)
+    def blocks(lengths: Column) -> Column:
+        count = F.ceil(F.size(lengths) / F.lit(BLOCK)).cast("int")
+        return F.transform(F.sequence(F.lit(1), count), lambda b: F.slice(lengths, (b - 1) * BLOCK + 1, F.lit(BLOCK)))
+
+    def joined(parts: Column) -> Column:
+        totals = _prefix(F.transform(parts, lambda p: F.aggregate(p, F.lit(0), lambda a, x: a + x)))
+        bases = F.slice(totals, F.lit(1), F.size(parts))
+        inside = lambda p, base: F.transform(F.slice(_prefix(p), F.lit(1), F.size(p)), lambda v: v + base)
+        return F.flatten(F.zip_with(parts, bases, inside))
+
+    return _let(_let(lengths, blocks), joined)
 
 
 def _spans(text: Column, pattern: str, kind: int, look: str, value: int = 0, least: int = 0) -> Column:
     """Spans of all matches of which group ``value`` has ``least`` characters or more."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    sizes = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.length)
     gaps = F.transform(F.split(text, pattern, -1), F.length)
-    sizes = F.transform(found, F.length)
-    gaps = F.slice(gaps, F.lit(1), F.size(sizes))
-    starts = F.zip_with(_before(F.zip_with(gaps, sizes, lambda g, s: g + s)), gaps, lambda before, g: before + g)
-    spans = F.zip_with(starts, sizes, lambda a, n: F.struct(a.alias("start"), F.lit(kind).alias("kind"), (a + n).alias("end")))
+    # One gap more than matches, behind the last.
+    pairs = F.filter(F.arrays_zip(gaps.alias("gap"), sizes.alias("size")), lambda x: x["size"].isNotNull())
+    span = lambda x, before: F.struct(
+        (before + x["gap"]).alias("start"), F.lit(kind).alias("kind"), (before + x["gap"] + x["size"]).alias("end")
+    )
+    spans = _let(pairs, lambda p: F.zip_with(p, _before(F.transform(p, lambda x: x["gap"] + x["size"])), span))
     if least:
         kept = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(value)), F.length)
         spans = F.filter(F.arrays_zip(spans.alias("span"), kept.alias("kept")), lambda x: x["kept"] >= least)
@@ -112,14 +126,17 @@ def _p_value(token: Column) -> Column:
     changes = changes - n
     by_runs = _below(((n - 1) * TEXT_CHANGES + 0.5 - changes) / F.sqrt((n - 1) * TEXT_CHANGES * (1 - TEXT_CHANGES)))
 
-    codes = F.transform(F.split(token, ""), lambda c: F.ascii(c).cast("double"))
-    codes = F.filter(codes, lambda c: c > 0)
-    middle = F.aggregate(codes, F.lit(0.0), lambda a, c: a + c) / n
-    off = F.transform(codes, lambda c: c - middle)
-    power = F.aggregate(off, F.lit(0.0), lambda a, c: a + c * c)
-    pairs = F.zip_with(F.slice(off, F.lit(1), F.size(off) - 1), F.slice(off, F.lit(2), F.size(off) - 1), lambda a, b: a * b)
-    serial = F.abs(F.aggregate(pairs, F.lit(0.0), lambda a, c: a + c)) / F.greatest(power, F.lit(1e-9))
-    serial = F.when(power < 1e-6, 1.0).otherwise(serial)
+    def correlation(codes: Column) -> Column:
+        total, count = F.aggregate(codes, F.lit(0.0), lambda a, c: a + c), F.size(codes).cast("double")
+        middle = total / count
+        power = F.aggregate(codes, F.lit(0.0), lambda a, c: a + c * c) - count * middle * middle
+        pairs = F.zip_with(F.slice(codes, F.lit(1), F.size(codes) - 1), F.slice(codes, F.lit(2), F.size(codes) - 1), lambda a, b: a * b)
+        ends = F.element_at(codes, 1) + F.element_at(codes, -1)
+        joint = F.aggregate(pairs, F.lit(0.0), lambda a, c: a + c) - middle * (2 * total - ends) + (count - 1) * middle * middle
+        return F.when(power < 1e-6, 1.0).otherwise(F.abs(joint) / F.greatest(power, F.lit(1e-9)))
+
+    codes = F.filter(F.transform(F.split(token, ""), lambda c: F.ascii(c).cast("double")), lambda c: c > 0)
+    serial = _let(codes, correlation)
     by_order = _below((serial - ORDER_CORRELATION) * F.sqrt(n) / (1 - ORDER_CORRELATION**2))
     return F.greatest(by_alphabet, by_runs, by_order)
 
@@ -128,12 +145,11 @@ def _candidates(text: Column, base: Column) -> Column:
     """Tested tokens: ``start, end, bin``; bin b holds p-values from 10 ** -((b + 1) / 10) to 10 ** -(b / 10)."""
     spans = _spans(text, CANDIDATE, 3, CANDIDATE)
     tokens = F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0))
-    rows = F.when(text.rlike(CANDIDATE), F.arrays_zip(spans.alias("span"), tokens.alias("token")))
-    rows = F.filter(
-        rows,
-        lambda x: x["token"].rlike("[a-z].*[A-Z0-9]|[A-Z].*[a-z0-9]|[0-9].*[A-Za-z]")
-        & ~F.exists(base, lambda b: (b["start"] <= x["span"]["start"]) & (b["end"] >= x["span"]["end"])),
+    mixed = F.filter(
+        F.arrays_zip(spans.alias("span"), tokens.alias("token")), lambda x: x["token"].rlike("[a-z].*[A-Z0-9]|[A-Z].*[a-z0-9]|[0-9].*[A-Za-z]")
     )
+    covers = lambda x: lambda b: (b["start"] <= x["span"]["start"]) & (b["end"] >= x["span"]["end"])
+    rows = F.when(text.rlike(CANDIDATE), _let(base, lambda known: F.filter(mixed, lambda x: ~F.exists(known, covers(x)))))
     tested = F.transform(
         rows,
         lambda x: F.struct(

@@ -86,7 +86,7 @@ def chain(candidates: DataFrame, stage: Stage) -> DataFrame:
     known = candidates.select("file", F.col("offset").alias("next"), F.lit(True).alias("there"))
     # A successor that is no candidate (the end of the file, or nothing) ends a chain.
     state = candidates.join(known, ["file", "next"], "left")
-    state = state.select("file", "offset", F.when("there", F.col("next")).alias("next"), (F.col("offset") == 0).alias("reached"))
+    state = state.select("file", "offset", F.when(F.col("there"), F.col("next")).alias("next"), (F.col("offset") == 0).alias("reached"))
     turn = 0
     while True:
         state = stage.table(state, f"chain-{turn}")
