@@ -14,27 +14,51 @@ TEXT_COLUMNS = (
     "ride_id rideable_type started_at ended_at start_station_name start_station_id end_station_name "
     "end_station_id start_lat start_lng end_lat end_lng member_casual"
 ).split()
-BROADWAY = ("Broadway & W 58 St", "6948.10", "40.766953", "-73.981693")
-EIGHTH_AVE = ("W 41 St & 8 Ave", "6602.03", "40.756405", "-73.990026")
-UNION_SQ = ("E 17 St & Broadway", "5980.07", "40.737050", "-73.990093")
-PIER_40 = ("Pier 40 - Hudson River Park", "5696.03", "40.727714", "-74.011296")
-
-
-def trip(ride_id, bike, started_at, ended_at, start, end, rider):
-    return (
-        ride_id, bike, started_at, ended_at, start[0], start[1], end[0], end[1],
-        start[2], start[3], end[2], end[3], rider,
-    )
-
-
-# fmt: off
-DEMO_TRIPS = [
-    trip("demo-001", "classic_bike", "2024-01-01 08:10:00", "2024-01-01 08:24:00", BROADWAY, EIGHTH_AVE, "member"),
-    trip("demo-002", "electric_bike", "2024-01-06 14:00:00", "2024-01-06 14:31:30", UNION_SQ, PIER_40, "casual"),
-    trip("demo-003", "classic_bike", "2024-01-07 18:15:00", "2024-01-07 18:22:00", EIGHTH_AVE, BROADWAY, "member"),
-    trip("demo-004", "electric_bike", "2024-01-08 09:05:00", "2024-01-08 09:48:00", PIER_40, UNION_SQ, "casual"),
-]
-# fmt: on
+COMMUTE = {
+    "ride_id": "a1",
+    "rideable_type": "classic_bike",
+    "started_at": "2023-05-01 07:45:00",
+    "ended_at": "2023-05-01 07:57:00",
+    "start_station_name": "North Quay",
+    "start_station_id": "Q10",
+    "end_station_name": "Mill Lane",
+    "end_station_id": "M2.50",
+    "start_lat": "51.5101",
+    "start_lng": "-0.118",
+    "end_lat": "51.5203",
+    "end_lng": "-0.1042",
+    "member_casual": "member",
+}
+OUTING = {
+    "ride_id": "a2",
+    "rideable_type": "electric_bike",
+    "started_at": "2023-05-06 13:30:00",
+    "ended_at": "2023-05-06 13:50:30",
+    "start_station_name": "Canal Gate",
+    "start_station_id": "C7",
+    "end_station_name": "Hill Park",
+    "end_station_id": "H1",
+    "start_lat": "51.5007",
+    "start_lng": "-0.0914",
+    "end_lat": "51.5312",
+    "end_lng": "-0.129",
+    "member_casual": "casual",
+}
+SUNDAY = COMMUTE | {
+    "ride_id": "a3",
+    "started_at": "2023-05-07 19:00:00",
+    "ended_at": "2023-05-07 19:09:00",
+    "start_station_name": "Mill Lane",
+    "end_station_name": "Canal Gate",
+}
+LATE = OUTING | {
+    "ride_id": "a4",
+    "started_at": "2023-05-09 22:10:00",
+    "ended_at": "2023-05-09 22:35:00",
+    "start_station_name": "Hill Park",
+    "end_station_name": "North Quay",
+}
+DEMO_TRIPS = [tuple(trip.values()) for trip in (COMMUTE, OUTING, SUNDAY, LATE)]
 
 
 @pytest.fixture(scope="session")

@@ -78,26 +78,35 @@ def test_panel_needs_one_shuffle_by_area(spark):
     demand = stage.table(panels.demand_by_area_hour(demand_trips(spark, SF)), "demand")
     hours = panels.hour_range(demand)
     areas = panels.top_areas(demand, 5)
-    panel = panels.dense_panel(panels.keep_areas(demand, areas, 5), areas, hours)
+    panel = panels.dense_panel(panels.keep_areas(demand, areas), areas, hours)
     panel = panels.add_lags(panel).withColumn("split", panels.split_of(hours))
     text = plan(panels.add_rush_threshold(panel))
     for unwanted in ("CartesianProduct", "NestedLoopJoin", "SortMergeJoin", "Python"):
         assert unwanted not in text
     main = text.split("Subquery subquery")[0]
-    assert len(re.findall(r"Exchange hashpartitioning\(area_id#\d+, \d+\), REPARTITION_BY_COL", text)) == 1
+    # One for the list of areas, one for all rows.
+    assert len(re.findall(r"Exchange hashpartitioning\(area_id#\d+, \d+\), REPARTITION_BY_NUM", text)) == 2
     assert "Window" in main
     assert not re.search(r"hashpartitioning\(area_id#\d+, timestamp_hour", text)
 
 
-def test_only_short_area_lists_are_broadcast(spark):
-    demand = panels.demand_by_area_hour(demand_trips(spark, SF))
+def test_area_lists_are_broadcast_by_their_size(spark, conf):
+    demand = Stage(spark).table(panels.demand_by_area_hour(demand_trips(spark, SF)), "demand")
 
-    def hinted(limit):
-        kept = panels.keep_areas(demand, panels.top_areas(demand, limit), limit)
-        return "broadcast" in kept._jdf.queryExecution().analyzed().toString()
+    def chosen(limit):
+        return plan(panels.keep_areas(demand, panels.top_areas(demand, limit)))
 
-    assert hinted(150)
-    assert not hinted(panels.BROADCAST_AREAS + 1)
+    conf("spark.sql.autoBroadcastJoinThreshold", "10k")
+    assert "BroadcastHashJoin" in chosen(150)
+    assert "BroadcastHashJoin" not in chosen(10_000_000)
+
+
+def test_zero_rows_are_made_in_many_tasks(spark):
+    demand = Stage(spark).table(panels.demand_by_area_hour(demand_trips(spark, SF)), "demand")
+    areas = panels.top_areas(demand, 6)
+    panel = panels.dense_panel(demand, areas, panels.hour_range(demand))
+    text = plan(panel)
+    assert re.search(r"Generate explode(?s:.)*Exchange hashpartitioning\(area_id#\d+, \d+\), REPARTITION_BY_NUM", text)
 
 
 def test_trips_are_scanned_once_for_a_staged_panel(spark):

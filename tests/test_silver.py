@@ -3,10 +3,12 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from tests.conftest import DEMO_TRIPS
+from tests.conftest import COMMUTE, DEMO_TRIPS
 from tripmart.functions.geo import EARTH_RADIUS_KM, area_id, haversine_km
 from tripmart.operators import silver
+from tripmart.operators.bronze import ingest_bronze
 from tripmart.operators.silver import SILVER_COLUMNS, transform_to_silver
+from tripmart.sources.tables import Lakehouse
 
 
 def plain_distance(lat1, lng1, lat2, lng2):
@@ -22,8 +24,8 @@ def distance(spark, *points):
 
 
 def test_distance(spark):
-    near = (40.766953, -73.981693, 40.756405, -73.990026)
-    assert 1.2 < distance(spark, *near) < 1.5
+    near = (51.5101, -0.118, 51.5203, -0.1042)
+    assert 1.4 < distance(spark, *near) < 1.6
     assert distance(spark, *near) == pytest.approx(plain_distance(*near), rel=1e-6)
     assert distance(spark, 40.0, -73.0, 40.0, -73.0) == 0
     assert distance(spark, 90.0, 0.0, -90.0, 77.0) == pytest.approx(math.pi * EARTH_RADIUS_KM)
@@ -31,10 +33,11 @@ def test_distance(spark):
         far = distance(spark, lat, 12.3, -lat, 12.3 - 180.0)
         assert far == pytest.approx(math.pi * EARTH_RADIUS_KM)
     assert distance(spark, None, -73.0, 40.0, -73.0) is None
+    assert math.isnan(distance(spark, float("nan"), -73.0, 40.0, -73.0))
 
 
 def test_grid_cells(spark):
-    rows = [(40.766953, -74.0), (40.75, -73.981693), (None, -73.9)]
+    rows = [(40.7681, -74.0), (40.75, -73.9834), (None, -73.9)]
     cells = spark.createDataFrame(rows, "start_lat double, start_lng double").select(area_id())
     assert [row[0] for row in cells.collect()] == ["40.76_-74.0", "40.75_-73.99", None]
 
@@ -76,17 +79,17 @@ def test_old_rider_and_bike_spellings(text_trips):
 
 def test_missing_coordinates_stay(text_trips):
     row = transform_to_silver(text_trips({"start_lat": ""}, {"end_lng": "NaN"})).collect()
-    assert [(r.distance_km, r.end_lat) for r in row] == [(None, 40.756405)] * 2
+    assert [(r.distance_km, r.end_lat) for r in row] == [(None, 51.5203)] * 2
 
 
 def test_calendar(demo_trips):
     rows = transform_to_silver(demo_trips).orderBy("ride_id").collect()
-    assert [row.trip_duration_minutes for row in rows] == [14.0, 31.5, 7.0, 43.0]
-    assert [row.day_of_week for row in rows] == ["Monday", "Saturday", "Sunday", "Monday"]
-    assert [row.day_of_week_num for row in rows] == [2, 7, 1, 2]
+    assert [row.trip_duration_minutes for row in rows] == [12.0, 20.5, 9.0, 25.0]
+    assert [row.day_of_week for row in rows] == ["Monday", "Saturday", "Sunday", "Tuesday"]
+    assert [row.day_of_week_num for row in rows] == [2, 7, 1, 3]
     assert [row.is_weekend for row in rows] == [False, True, True, False]
-    assert {row.month for row in rows} == {"2024-01"}
-    assert rows[0].start_hour == 8 and str(rows[0].start_date) == "2024-01-01"
+    assert {row.month for row in rows} == {"2023-05"}
+    assert rows[0].start_hour == 7 and str(rows[0].start_date) == "2023-05-01"
 
 
 def test_columns_and_order(demo_trips, text_trips):
@@ -114,3 +117,19 @@ def test_typed_input_is_accepted(demo_trips):
     expected = transform_to_silver(demo_trips).drop("data_layer").collect()
     assert transform_to_silver(typed).drop("data_layer").collect() == expected
     assert len(expected) == len(DEMO_TRIPS)
+
+
+def test_files_of_several_layouts(spark, tmp_path):
+    """Three spellings of the same columns, one file each, through Bronze to Silver."""
+    old = {"started_at": "starttime", "ended_at": "Stop Time", "start_lng": "Start Lon", "member_casual": "usertype"}
+    words = {name: name.replace("_", " ").title() for name in COMMUTE}
+    for at, names in enumerate(({}, old, words)):
+        trip = COMMUTE | {"ride_id": f"r{at}", "gender": str(at)}
+        row = spark.createDataFrame([tuple(trip.values())], list(trip)).withColumnsRenamed(names)
+        row.coalesce(1).write.mode("append").csv(str(tmp_path / "landing"), header=True)
+    lakehouse = Lakehouse(spark, str(tmp_path / "lakehouse"))
+    assert ingest_bronze(lakehouse, str(tmp_path / "landing")) == 3
+    rows = transform_to_silver(lakehouse.read("bronze")).orderBy("ride_id").collect()
+    assert [row.ride_id for row in rows] == ["r0", "r1", "r2"]
+    assert {(row.trip_duration_minutes, row.member_casual, row.end_lat) for row in rows} == {(12.0, "member", 51.5203)}
+    assert all(row.distance_km == rows[0].distance_km > 1 for row in rows)

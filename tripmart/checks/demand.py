@@ -151,7 +151,7 @@ def semi_filter_top_areas_check(spark, sf_dir):
     counted = demand(spark, sf_dir)
     split_hour = panels.hour_range(counted).select("split_hour").scalar()
     areas = panels.top_areas(counted, 5, before=split_hour)
-    return panels.keep_areas(counted, areas, 5).select("area_id", HOUR, "demand_count")
+    return panels.keep_areas(counted, areas).select("area_id", HOUR, "demand_count")
 
 
 @check(
@@ -162,7 +162,7 @@ def dense_panel_check(spark, sf_dir):
     counted = demand(spark, sf_dir)
     hours = panels.hour_range(counted)
     areas = panels.top_areas(counted, 5, before=hours.select("split_hour").scalar())
-    return panels.dense_panel(panels.keep_areas(counted, areas, 5), areas, hours)
+    return panels.dense_panel(panels.keep_areas(counted, areas), areas, hours)
 
 
 @check(

@@ -179,10 +179,11 @@ _register_view(
     "dash_mom_growth",
     MONTHS,
     dashboard.month_growth,
-    f"""select month, total_rides, lag(total_rides) over (order by month) as previous_rides,
-    total_rides - lag(total_rides) over (order by month) as rides_change,
-    {half_up('''(total_rides - lag(total_rides) over (order by month)) * 100.0e0
-      / nullif(lag(total_rides) over (order by month), 0)''', 2)} as change_pct from t""",
+    f"""select t.month, t.total_rides, p.total_rides as previous_rides,
+    t.total_rides - p.total_rides as rides_change,
+    {half_up("(t.total_rides - p.total_rides) * 100.0e0 / nullif(p.total_rides, 0)", 2)} as change_pct
+    from t left join t p
+      on p.month = strftime(strptime(t.month || '-01', '%Y-%m-%d') - interval 1 month, '%Y-%m')""",
 )
 
 

@@ -11,7 +11,7 @@ from pyarrow.fs import FileSystem
 from pyspark.sql import DataFrame, functions as F
 
 from tripmart.checks.adapters import RAW_SQL, SILVER_SQL, raw_trips, silver_trips
-from tripmart.checks.cleaning import SILVER_SELECT, nano_distance
+from tripmart.checks.cleaning import SILVER_SELECT, SOURCE_SPELLINGS, nano_distance
 from tripmart.checks.marts import GOLD_SQL
 from tripmart.checks.registry import check, time_text
 from tripmart.functions.naming import TRIP_COLUMNS
@@ -137,14 +137,27 @@ def tbl_read_check(spark, sf_dir):
 
 @check(
     "silver_write",
-    f"with {SILVER_SQL} select ride_id, month, trip_duration_minutes, 'silver' as data_layer from silver",
+    f"with {SILVER_SQL} select {SILVER_SELECT} from silver",
 )
 def silver_write_check(spark, sf_dir):
     """Bronze table to Silver table, with file sizes evened out."""
     lakehouse = fresh_lakehouse(spark)
     lakehouse.write(raw_trips(spark, sf_dir), "bronze")
     write_silver(lakehouse, rebalance=True)
-    return lakehouse.read("silver").select("ride_id", "month", "trip_duration_minutes", "data_layer")
+    return nano_distance(lakehouse.read("silver").select(*silver_trips(spark, sf_dir).columns))
+
+
+@check("silver_mixed_layouts", f"with {SILVER_SQL} select {SILVER_SELECT} from silver")
+def silver_mixed_layouts_check(spark, sf_dir):
+    """Landed files of two layouts, half of them in older spellings, through Bronze to Silver."""
+    lakehouse = fresh_lakehouse(spark)
+    raw, folder = raw_trips(spark, sf_dir), f"{lakehouse.root}/landing"
+    half = F.coalesce(F.crc32(F.col("ride_id").cast("binary")) % 2, F.lit(0))
+    raw.where(half == 0).write.csv(folder, header=True, mode="append")
+    raw.where(half == 1).withColumnsRenamed(SOURCE_SPELLINGS).write.csv(folder, header=True, mode="append")
+    ingest_bronze(lakehouse, folder)
+    write_silver(lakehouse)
+    return nano_distance(lakehouse.read("silver").select(*silver_trips(spark, sf_dir).columns))
 
 
 @check("export_silver_parquet", f"with {SILVER_SQL} select {SILVER_SELECT} from silver")
@@ -212,10 +225,8 @@ def preview_gold_check(spark, sf_dir):
     return reduce(DataFrame.unionByName, rows)
 
 
-@check(
-    "medallion_run",
-    f"with {SILVER_SQL}, {GOLD_CTES} {STORED_ROWS}",
-)
+@check("pipeline_run", f"with {SILVER_SQL}, {GOLD_CTES} {STORED_ROWS}")
+@check("medallion_run", f"with {SILVER_SQL}, {GOLD_CTES} {STORED_ROWS}")
 def medallion_run_check(spark, sf_dir):
     """Rows stored by each step of the run from CSV files to Gold."""
     lakehouse = fresh_lakehouse(spark)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, functions as F
 
 EARTH_RADIUS_KM = 6371.0088
@@ -11,14 +9,15 @@ CELLS_PER_DEGREE = 100
 
 
 def haversine_km(start_lat: str, start_lng: str, end_lat: str, end_lng: str) -> Column:
-    """Kilometres between two points; NULL when a coordinate is NULL."""
+    """Kilometres between two points; NULL when a coordinate is NULL, NaN when one is NaN."""
     phi_a, phi_b = F.radians(start_lat), F.radians(end_lat)
     sin_phi = F.sin((phi_b - phi_a) / 2)
     sin_lambda = F.sin((F.radians(end_lng) - F.radians(start_lng)) / 2)
     chord = sin_phi * sin_phi + F.cos(phi_a) * F.cos(phi_b) * sin_lambda * sin_lambda
-    angle = F.asin(F.sqrt(chord))
-    # Rounding can push the chord of antipodes above 1, where asin is NaN and would spoil averages.
-    return 2 * EARTH_RADIUS_KM * F.nanvl(angle, F.lit(math.pi / 2))
+    # Rounding can push the chord of antipodes above 1, where asin is NaN and would spoil averages. NaN compares as
+    # the greatest number, so it is kept out of the cap.
+    capped = F.when((chord > 1) & ~F.isnan(chord), 1.0).otherwise(chord)
+    return 2 * EARTH_RADIUS_KM * F.asin(F.sqrt(capped))
 
 
 def grid_edge(coordinate: str) -> Column:

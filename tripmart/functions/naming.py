@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 # The trip columns, in source order, and the older spellings that stand for them.
 TRIP_COLUMNS = (
@@ -58,3 +58,23 @@ def canonical_names(names: list[str]) -> list[str]:
 
 def normalize_columns(df: DataFrame) -> DataFrame:
     return df.toDF(*canonical_names(df.columns))
+
+
+def merge_spellings(df: DataFrame) -> DataFrame:
+    """``normalize_columns``, but all spellings of a trip column become one column: the first value there is.
+
+    Files landed over the years spell the same column differently, and each has a value in its own.
+    Unknown columns that end up with one name keep their numbered names.
+    """
+    places = [f"_{place}" for place in range(len(df.columns))]
+    spelled: dict[str, list[str]] = {}
+    for place, name in zip(places, df.columns):
+        spelled.setdefault(canonical_name(name), []).append(place)
+    columns = []
+    for place, name, unique in zip(places, df.columns, canonical_names(df.columns)):
+        canonical = canonical_name(name)
+        if canonical not in TRIP_COLUMNS:
+            columns.append(F.col(place).alias(unique))
+        elif spelled[canonical][0] == place:
+            columns.append(F.coalesce(*spelled[canonical]).alias(canonical))
+    return df.toDF(*places).select(*columns)

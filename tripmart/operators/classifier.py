@@ -49,12 +49,6 @@ def class_weights(panel: DataFrame) -> DataFrame:
     return counts.withColumns({"rush_weight": balanced("rush_rows"), "other_weight": balanced("other_rows")})
 
 
-def add_class_weight(panel: DataFrame) -> DataFrame:
-    weights = class_weights(panel)
-    rush, other = (weights.select(name).scalar() for name in ("rush_weight", "other_weight"))
-    return panel.withColumn("weight", F.when(F.col(LABEL) == 1, rush).otherwise(other))
-
-
 def category_stages(features: FeatureSet) -> list:
     """Index and one-hot encode; values not seen in training become all zeros."""
     indexers = [

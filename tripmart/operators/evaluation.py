@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tripmart.functions.trips import ratio
 from tripmart.operators.panel import HOUR
@@ -17,6 +17,7 @@ from tripmart.session import Stage
 # Map colours by upper end of probability, and the texts for rush and other hours.
 PROBABILITY_COLORS = ((0.2, "blue"), (0.4, "cyan"), (0.6, "yellow"), (0.8, "orange"))
 HIGHEST_COLOR = "red"
+SPLITS = ("train", "test")
 RUSH_TEXT = "🔴 Cao điểm"
 OTHER_TEXT = "🟢 Bình thường"
 
@@ -25,15 +26,20 @@ def or_zero(value: Column) -> Column:
     return F.coalesce(value, F.lit(0.0))
 
 
+def both_splits(spark: SparkSession) -> DataFrame:
+    return spark.range(1).select(F.explode(F.array(*map(F.lit, SPLITS))).alias("split"))
+
+
 def outcome_counts(scored: DataFrame) -> DataFrame:
-    """Per split: true and false positives and negatives."""
+    """Per split: true and false positives and negatives; 0 for a split without rows."""
     actual, predicted = F.col("is_rush_area") == 1, F.col("y_pred") == 1
-    return scored.groupBy("split").agg(
+    counts = scored.groupBy("split").agg(
         F.count_if(actual & predicted).alias("tp"),
         F.count_if(~actual & predicted).alias("fp"),
         F.count_if(actual & ~predicted).alias("fn"),
         F.count_if(~actual & ~predicted).alias("tn"),
     )
+    return both_splits(scored.sparkSession).join(counts, "split", "left").fillna(0, ["tp", "fp", "fn", "tn"])
 
 
 def precision_recall_f1(scored: DataFrame) -> DataFrame:
@@ -94,7 +100,7 @@ def score_ladder(scored: DataFrame, stage: Stage) -> DataFrame:
     down = Window.partitionBy("split", "range").orderBy(F.desc("score"))
     running = down.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     step = F.coalesce(F.lead(F.struct("pos", "neg")).over(down), F.col("next_head"))
-    ladder = cut.join(F.broadcast(offsets), ["split", "range"])
+    ladder = cut.join(offsets, ["split", "range"])
     return ladder.select(
         "split",
         "score",
@@ -173,8 +179,9 @@ def metrics_table(scored: DataFrame, stage: Stage) -> DataFrame:
     """One row per split with all five metrics."""
     ladder = score_ladder(scored, stage)
     parts = [precision_recall_f1(scored), roc_auc(ladder), average_precision(ladder)]
-    joined = reduce(lambda left, right: left.join(right, "split"), parts)
-    return joined.withColumn("split", F.initcap("split"))
+    joined = reduce(lambda left, right: left.join(right, "split", "left"), parts)
+    # A split without rows has one class at most: no ranking to speak of.
+    return joined.fillna({"roc_auc": 0.5, "pr_auc": 0.0}).withColumn("split", F.initcap("split"))
 
 
 def snapshot_hour(scored: DataFrame, method: str = "middle") -> DataFrame:
@@ -186,8 +193,9 @@ def snapshot_hour(scored: DataFrame, method: str = "middle") -> DataFrame:
     if method == "median":
         middle = F.percentile(F.unix_seconds(HOUR), 0.5)
         return hours.agg(F.timestamp_seconds(middle).alias("snapshot_hour"))
-    in_order = F.sort_array(F.collect_list(HOUR))
-    return hours.agg(F.get(in_order, F.floor(F.size(in_order) / 2).cast("int")).alias("snapshot_hour"))
+    # Counted from the last hour, so of two middle ones it is the later.
+    later = F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY unix_seconds({HOUR}) DESC)")
+    return hours.agg(F.timestamp_seconds(later.cast("long")).alias("snapshot_hour"))
 
 
 def scored_hour(scored: DataFrame, hour: str | Column, centroids: DataFrame) -> DataFrame:
@@ -221,7 +229,7 @@ def rush_map_layer(scored: DataFrame, hour: str | Column, centroids: DataFrame)
         return F.when(F.col(column) == 1, RUSH_TEXT).otherwise(OTHER_TEXT)
 
     rows = scored_hour(scored, hour, centroids)
-    center = rows.agg(F.avg("lat").alias("map_lat"), F.avg("lng").alias("map_lng"))
+    center = rows.agg(F.struct(F.avg("lat").alias("map_lat"), F.avg("lng").alias("map_lng")).alias("c")).scalar()
     return rows.select(
         "area_id",
         "lat",
@@ -233,5 +241,6 @@ def rush_map_layer(scored: DataFrame, hour: str | Column, centroids: DataFrame)
         text("is_rush_area").alias("actual_label"),
         text("y_pred").alias("predicted_label"),
         F.round("y_prob", 4).alias("probability"),
-        *[center.select(name).scalar().alias(name) for name in center.columns],
+        center.getField("map_lat").alias("map_lat"),
+        center.getField("map_lng").alias("map_lng"),
     )

@@ -16,7 +16,6 @@ from tripmart.session import Stage
 
 LAGS = (1, 2, 24, 168)
 TRAIN_SHARE = 0.8
-BROADCAST_AREAS = 10_000
 HOUR = "timestamp_hour"
 PANEL_COLUMNS = (
     HOUR,
@@ -117,13 +116,9 @@ def top_areas(demand: DataFrame, limit: int = 150, before: Column | None = None)
     return ranked.orderBy(F.desc("trips"), "area_id").limit(limit)
 
 
-def keep_areas(demand: DataFrame, areas: DataFrame, limit: int) -> DataFrame:
-    """Demand of the given areas only. ``limit`` is the most rows ``areas`` can have; only a small
-    list is sent to all tasks, a larger one is left to Spark's own choice of join."""
-    listed = areas.select("area_id")
-    if limit <= BROADCAST_AREAS:
-        listed = F.broadcast(listed)
-    return demand.join(listed, "area_id", "left_semi")
+def keep_areas(demand: DataFrame, areas: DataFrame) -> DataFrame:
+    """Demand of the given areas only. A limited list has a known size, so Spark chooses the join by it."""
+    return demand.join(areas.select("area_id"), "area_id", "left_semi")
 
 
 def dense_panel(demand: DataFrame, areas: DataFrame, hours: DataFrame) -> DataFrame:
@@ -133,9 +128,13 @@ def dense_panel(demand: DataFrame, areas: DataFrame, hours: DataFrame) -> DataFr
     serves this sum and the lag and threshold windows after it; no join is needed.
     """
     bounds = [hours.select(name).scalar() for name in ("first_hour", "last_hour")]
-    zeros = areas.select("area_id", _hours_between(*bounds)).withColumn("demand_count", F.lit(0).cast("long"))
+    # A ranked list is one partition: areas are dealt out before each becomes as many rows as there are hours.
+    # Both sides name the number of partitions, or adaptive execution would merge so few rows again.
+    spread = int(areas.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    listed = areas.select("area_id").repartition(spread, "area_id")
+    zeros = listed.select("area_id", _hours_between(*bounds)).withColumn("demand_count", F.lit(0).cast("long"))
     counted = demand.select("area_id", HOUR, "demand_count")
-    rows = zeros.unionByName(counted).repartition("area_id")
+    rows = zeros.unionByName(counted).repartition(spread, "area_id")
     return rows.groupBy("area_id", HOUR).agg(F.sum("demand_count").alias("demand_count"))
 
 
@@ -198,26 +197,23 @@ def build_rush_panel(
 ) -> RushPanel:
     """Trips (``started_at``, ``start_lat``, ``start_lng``) to the labelled panel.
 
-    With a ``stage`` the sums by area and hour, and the panel, are written once and read back; trips
-    are then scanned a single time. Without one everything stays lazy and trips are scanned per use.
+    The sums by area and hour, and the panel, are written once and read back, to a new ``Stage`` unless
+    one is given, so trips are scanned a single time.
     """
-    demand = demand_by_area_hour(trips)
-    if stage is not None:
-        demand = stage.table(demand, "area_hours")
+    stage = stage or Stage(trips.sparkSession)
+    demand = stage.table(demand_by_area_hour(trips), "area_hours")
     hours = hour_range(demand)
     if options.scope == "train":
         areas = top_areas(demand, options.top_areas, before=hours.select("split_hour").scalar())
     else:
         areas = top_areas(demand, options.top_areas)
-    kept = keep_areas(demand, areas, options.top_areas)
+    kept = keep_areas(demand, areas)
     if options.spine == "top_areas":
         hours = hour_range(kept)
     panel = dense_panel(kept, areas, hours)
     panel = add_lags(panel).withColumn("split", split_of(hours))
     panel = add_rush_label(add_rush_threshold(panel, options))
-    panel = add_calendar(panel).select(*PANEL_COLUMNS)
-    if stage is not None:
-        panel = stage.table(panel, "panel")
+    panel = stage.table(add_calendar(panel).select(*PANEL_COLUMNS), "panel")
     return RushPanel(panel, area_centroids(demand), areas, hours, options)
 
 
@@ -262,16 +258,19 @@ def area_map_layer(panel: DataFrame, centroids: DataFrame, metric: str = "total_
     """
     value = F.sum("demand_count").cast("double") if metric == "total_demand" else F.avg("demand_count")
     values = panel.groupBy("area_id").agg(value.alias("value")).join(centroids, "area_id")
+    # One subquery for all three numbers.
     whole_map = values.agg(
-        F.max("value").alias("largest"), F.avg("lat").alias("map_lat"), F.avg("lng").alias("map_lng")
-    )
-    largest, map_lat, map_lng = (whole_map.select(name).scalar() for name in whole_map.columns)
+        F.struct(
+            F.max("value").alias("largest"), F.avg("lat").alias("map_lat"), F.avg("lng").alias("map_lng")
+        ).alias("numbers")
+    ).scalar()
+    largest = whole_map.getField("largest")
     scale = F.when(largest > 0, largest).otherwise(1.0)
     return values.withColumns(
         {
             "radius": 5 + 15 * F.col("value") / scale,
             "color": F.when(F.col("value") > 0, "crimson").otherwise("blue"),
-            "map_lat": map_lat,
-            "map_lng": map_lng,
+            "map_lat": whole_map.getField("map_lat"),
+            "map_lng": whole_map.getField("map_lng"),
         }
     )

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tripmart.functions import trips
 from tripmart.functions.geo import haversine_km
-from tripmart.functions.naming import TRIP_COLUMNS, normalize_columns
+from tripmart.functions.naming import TRIP_COLUMNS, merge_spellings
 from tripmart.operators.quality import quality_summary, require_non_empty
 from tripmart.sources.tables import Lakehouse
 
@@ -79,21 +79,16 @@ def silver_projection(df: DataFrame) -> DataFrame:
     return df.select(*[column for column in SILVER_COLUMNS if column in df.columns])
 
 
-def clean_trips(df: DataFrame) -> DataFrame:
-    """``keep_valid_trips`` and ``add_duration`` at once: a duration above 0 needs both times, and the
-    end after the start, so one comparison decides and each time is parsed once for it."""
-    return add_duration(df.where(F.col("ride_id").isNotNull()))
-
-
 def transform_to_silver(df: DataFrame) -> DataFrame:
     """Raw or Bronze rows to Silver: projections and filters only, so no shuffle at any size."""
     steps = (
-        normalize_columns,
+        merge_spellings,
         require_columns,
         fill_optional_columns,
         cast_types,
         normalize_values,
-        clean_trips,
+        keep_valid_trips,
+        add_duration,
         add_calendar,
         add_distance,
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tripmart.functions.trips import ratio
 from tripmart.operators.gold import average_km, average_minutes, trip_facts
@@ -77,10 +77,13 @@ def chart_od_table(pairs: DataFrame, limit: int = 30) -> DataFrame:
     return largest(table, "total_rides", *keys, limit=limit)
 
 
-def chart_monthly_total(monthly: DataFrame, limit: int = 12) -> DataFrame:
-    """Months with the fewest rides first, as many as a year has."""
-    sums = monthly.groupBy("month").agg(sum_of("total_rides"))
-    return sums.orderBy("total_rides", "month").limit(limit)
+def chart_monthly_total(monthly: DataFrame, limit: int | None = 12) -> DataFrame:
+    """Months with the fewest rides first.
+
+    The chart shows ``limit`` rows, of a longer history those with the fewest rides; ``None`` gives all months.
+    """
+    sums = monthly.groupBy("month").agg(sum_of("total_rides")).orderBy("total_rides", "month")
+    return sums if limit is None else sums.limit(limit)
 
 
 def chart_monthly_table(monthly: DataFrame) -> DataFrame:
@@ -137,12 +140,14 @@ def headline_numbers(silver: DataFrame) -> DataFrame:
 
 
 def month_growth(monthly: DataFrame) -> DataFrame:
-    """Change against the month before in the table; one row per month, so one small window."""
-    before = F.lag("total_rides").over(Window.orderBy("month"))
+    """Change against the calendar month before; NULL where the table has no such month."""
+    following = F.date_format(F.add_months(F.to_date(F.concat("month", F.lit("-01"))), 1), "yyyy-MM")
+    before = monthly.select(following.alias("month"), F.col("total_rides").alias("previous_rides"))
     change = F.col("total_rides") - F.col("previous_rides")
     percent = change * 100.0 / F.nullif(F.col("previous_rides"), F.lit(0))
     return (
-        monthly.select("month", "total_rides", before.alias("previous_rides"))
+        monthly.select("month", "total_rides")
+        .join(before, "month", "left")
         .withColumns({"rides_change": change, "change_pct": F.round(percent, 2).cast("double")})
         .orderBy("month")
     )
