@@ -4,19 +4,24 @@ Distance is 1 - intersection / union, a metric; two documents link at ``LIMIT``
 
 1. Exact copies are one point of the space: the class of all documents with the same set.
 2. Pivots. Every shingle in the *head* of a set (its smallest 3/8 in a random order) draws the sets that
-   hold it together; the smallest of them is their pivot. The regions of a set are those of the pivots
-   that share much of its head. Its distance to each is worked out in full, which links most near copies.
-3. Windows. Two sets with distance at most LIMIT differ in at most a quarter of the larger one, so each
-   must share an eighth of its head with the other (the triangle inequality of the symmetric difference).
-   A set is replicated to all regions inside that window and to no other; sets without a region are alone.
-4. Pairs that meet in a region, lie in different components so far, and pass the size bound and the
-   window between their distances to a common pivot, are compared in full.
-5. Recursion. Regions where more than ``CROWD`` components meet (a passage that many documents share) are
-   left out of 4. A set that shares enough of its head within such regions alone is *heavy*: heavy sets
-   are joined again among themselves on whole sets, rarest shingles first, where nothing is left out.
+   hold it together. The most central of them, whose head the others share most, is their pivot. A set's
+   distance to each pivot that shares much of its head is worked out in full; the nearest is its home, and the
+   sets of one home are a Voronoi region.
+3. Inside a region sets are known by their differences from its pivot. By the triangle inequality two sets that
+   aren't linked through the pivot can only link if they share more than 3/7 of the differences of either; in
+   large regions the differences are joined in turn, after all sets are left out whose differences
+   nobody shares. The size of two differences and of what they share gives the exact distance.
+4. Windows. Two sets of different regions with distance at most LIMIT differ in at most a quarter of the larger
+   one, so each shares an eighth of its head with the other (the triangle inequality of the symmetric
+   difference). A set is replicated to all shingles inside that window; pairs of different regions that
+   meet, and pass the bounds on size, on the shared part of the head and on their distances to a common
+   pivot, are compared in full.
+5. Recursion. Shingles where more than ``CROWD`` regions meet (a passage that many documents share) are left out
+   of 4. A set that shares enough of its head at such shingles alone is *heavy*: heavy sets are joined
+   again among themselves on whole sets, rarest shingles first, where nothing is left out.
 
 Pivots alone can't separate this space: nearly all pairs of texts are at distance 1, where no window
-excludes anything. That is why regions are drawn by shared shingles first and by distance inside them.
+excludes anything. That is why sets are drawn together by shingles first and by distance inside these.
 
 Results: one row per row of the input with ``doc_id``, ``n_shingles``, ``component_id``: the smallest
 ``doc_id`` that links lead to, its own included. Rows with a NULL id take part and count as no id; a text
@@ -29,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripmart.llm.staging import Stage, components, partitions
@@ -39,6 +44,8 @@ from tripmart.llm.words import chunks, mixed, shingles
 CROWD = 64
 #: Members of a pivot's region whose distance to it is worked out by one task.
 SHARE = 4096
+#: Pairs that a task holds at a time.
+PAIRS = 1 << 19
 
 _PROFILE = "doc_id long, n long, key long, head array<long>"
 _RUN = "shingle long, key long, n long, pivot long, pivot_n long"
@@ -61,7 +68,7 @@ def head_size(n):
 
 def fewest_shared(n):
     """How many shingles of its head a set of ``n`` shares with any set at distance 0.25 or less."""
-    return (3 * n + 4 + 31) // 32
+    return n // 8 + 1
 
 
 def _array(parts: list[np.ndarray | None]) -> pa.Array:
@@ -127,10 +134,10 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], ["shingle", "key", "n", "pivot", "pivot_n"])
 
 
-def runs(rows: DataFrame) -> DataFrame:
-    """``shingle, key, n`` brought together by shingle; see ``_runs``."""
-    spread = rows.repartition(partitions(rows.sparkSession), "shingle").sortWithinPartitions("shingle", "key", "n")
-    return spread.mapInArrow(_runs, _RUN)
+def runs(rows: DataFrame, *order: Column) -> DataFrame:
+    """``shingle, key, n`` brought together by shingle, and sorted by ``order`` first; see ``_runs``."""
+    spread = rows.repartition(partitions(rows.sparkSession), "shingle").sortWithinPartitions("shingle", *order, "key", "n")
+    return spread.select("shingle", "key", "n").mapInArrow(_runs, _RUN)
 
 
 def _full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,8 +172,11 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(out, ["key", "n", "pivot", "pivot_n", "shared"])
 
 
-def distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``shared`` for pairs ``key, n, pivot, pivot_n``. A pivot with very many pairs is spread over several tasks."""
+def _beside(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The sets of pairs ``key, n, pivot, pivot_n``, sorted by pivot, each after its pivot's own set.
+
+    A pivot with very many pairs is spread over several tasks.
+    """
     spread = partitions(pairs.sparkSession)
     many = pairs.groupBy("pivot", "pivot_n").agg((F.count("*") / SHARE).cast("int").alias("salts"))
     salt = F.when(F.col("salts") > 0, F.pmod(F.xxhash64("key"), F.col("salts") + 1)).otherwise(0)
@@ -175,19 +185,24 @@ def distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         .join(sets, ["key", "n"])
         .select("pivot", "pivot_n", salt.cast("int").alias("salt"), F.lit(False).alias("is_own"), "key", "n", "members")
     )
-    own = many.join(sets.select(F.col("key").alias("pivot"), F.col("n").alias("pivot_n"), "members"), ["pivot", "pivot_n"])
+    # The same columns as above, so that the sets are dealt out once for both.
+    own = many.select(F.col("pivot").alias("key"), F.col("pivot_n").alias("n"), "salts").join(sets, ["key", "n"])
     own = own.select(
-        "pivot", "pivot_n", F.explode(F.sequence(F.lit(0), "salts")).alias("salt"), F.lit(True).alias("is_own"),
-        F.col("pivot").alias("key"), F.col("pivot_n").alias("n"), "members",
+        F.col("key").alias("pivot"), F.col("n").alias("pivot_n"), F.explode(F.sequence(F.lit(0), "salts")).alias("salt"),
+        F.lit(True).alias("is_own"), "key", "n", "members",
     )
     return (
         own.union(members)
         .repartition(spread, "pivot", "pivot_n", "salt")
         .sortWithinPartitions("pivot", "pivot_n", "salt", F.desc("is_own"))
-        .mapInArrow(_compare, "key long, n long, pivot long, pivot_n long, shared long")
     )
 
 
+def distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """``shared`` for pairs ``key, n, pivot, pivot_n``."""
+    return _beside(pairs, sets).mapInArrow(_compare, "key long, n long, pivot long, pivot_n long, shared long")
+
+
 def _linked(rows: DataFrame) -> DataFrame:
     """100 * intersection >= 75 * union, in whole numbers."""
     return rows.where("100 * shared >= 75 * (n + pivot_n - shared)")
@@ -196,33 +211,94 @@ def _linked(rows: DataFrame) -> DataFrame:
 _FITS = "4 * least(n, pivot_n) >= 3 * greatest(n, pivot_n)"
 
 
+def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What each set has and its pivot lacks, and the other way round; rows as for ``_compare``."""
+    current, own = None, np.zeros(0, np.uint64)
+    for batch in batches:
+        key, n, pivot, pivot_n = (np.asarray(batch.column(c)) for c in ("key", "n", "pivot", "pivot_n"))
+        column = batch.column("members")
+        offsets, values = np.asarray(column.offsets), np.asarray(column.values).view(np.uint64)
+        is_own = np.asarray(batch.column("is_own").cast(pa.int8()))
+        rows, found = [], []
+        for i in range(batch.num_rows):
+            members = values[offsets[i] : offsets[i + 1]]
+            if is_own[i]:
+                current, own = (pivot[i], pivot_n[i]), members.copy()
+            elif current == (pivot[i], pivot_n[i]):
+                found.append(np.setxor1d(own, members, assume_unique=True).view(np.int64))
+                rows.append(np.full(len(found[-1]), i))
+        at = np.concatenate(rows) if rows else np.zeros(0, int)
+        shingle = np.concatenate(found) if found else np.zeros(0, np.int64)
+        out = [pa.array(x[at]) for x in (key, n, pivot, pivot_n)] + [pa.array(shingle)]
+        yield pa.RecordBatch.from_arrays(out, ["key", "n", "pivot", "pivot_n", "shingle"])
+
+
+def _starts(*columns: np.ndarray) -> np.ndarray:
+    """For each row the first row with equal columns."""
+    new = np.ones(len(columns[0]), bool)
+    new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    return np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
+
+
 def _cross(crowd: int | None):
+    """Pairs that meet at a shingle, from rows sorted by shingle and region: of different regions and components.
+
+    For a shingle where more than ``crowd`` regions meet there is a row for each set instead, paired with itself.
+    """
+    names = ["key", "n", "pivot", "pivot_n"]
+
+    def batch_of(*columns: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names)
+
+    def of(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
+        if not rows.shape[1]:
+            return
+        run, own = _starts(rows[0]), _starts(rows[0], rows[1])
+        if crowd:
+            regions = np.bincount(run, own == np.arange(len(own)), len(run))
+            full = regions[run] > crowd
+            if full.any():
+                yield batch_of(rows[3, full], rows[4, full], rows[3, full], rows[4, full])
+                rows = rows[:, ~full]
+                if not rows.shape[1]:
+                    return
+                run, own = _starts(rows[0]), _starts(rows[0], rows[1])
+        _, _, component, key, n = rows
+        total = np.cumsum(own - run)
+        begin = 0
+        while begin < len(run) and total[-1]:
+            end = max(begin + 1, int(np.searchsorted(total, (total[begin - 1] if begin else 0) + PAIRS, "right")))
+            count = (own - run)[begin:end]
+            left = np.repeat(np.arange(begin, end), count)
+            right = np.arange(len(left)) - np.repeat(np.cumsum(count) - count, count) + run[left]
+            fits = (4 * np.minimum(n[left], n[right]) >= 3 * np.maximum(n[left], n[right])) & (component[left] != component[right])
+            left, right = left[fits], right[fits]
+            if len(left):
+                yield batch_of(key[left], n[left], key[right], n[right])
+            begin = end
+
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Pairs of sets in different components, for rows sorted by shingle and component."""
-        names = ["key", "n", "pivot", "pivot_n"]
-
-        def of(run: np.ndarray) -> Iterator[pa.RecordBatch]:
-            edges = np.flatnonzero(np.append(True, run[1, 1:] != run[1, :-1]))
-            if len(edges) < 2 or (crowd and len(edges) > crowd):
-                return
-            for begin in edges[1:]:
-                end = int(edges[np.searchsorted(edges, begin, "right")]) if begin != edges[-1] else run.shape[1]
-                for i in range(begin, end):
-                    key, n = run[2:, i]
-                    fits = run[:, :begin]
-                    fits = fits[:, 4 * np.minimum(fits[3], n) >= 3 * np.maximum(fits[3], n)]
-                    if fits.shape[1]:
-                        same = np.full(fits.shape[1], key), np.full(fits.shape[1], n)
-                        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (*same, fits[2], fits[3])], names)
-
-        held = None
+        held, crowded = None, None
         for batch in batches:
-            rows = np.stack([np.asarray(batch.column(c)) for c in ("shingle", "component", "key", "n")])
+            rows = np.stack([np.asarray(batch.column(c)) for c in ("shingle", "region", "component", "key", "n")])
+            if crowded is not None:
+                same = rows[0] == crowded
+                if same.any():
+                    yield batch_of(rows[3, same], rows[4, same], rows[3, same], rows[4, same])
+                    rows = rows[:, ~same]
+                if rows.shape[1]:
+                    crowded = None
             rows = rows if held is None else np.concatenate([held, rows], axis=1)
-            begins = np.flatnonzero(np.append(True, rows[0, 1:] != rows[0, :-1]))
-            for a, b in zip(begins[:-1], begins[1:]):
-                yield from of(rows[:, a:b])
-            held = rows[:, begins[-1] :]
+            if not rows.shape[1]:
+                continue
+            last = int(_starts(rows[0])[-1])
+            yield from of(rows[:, :last])
+            held = rows[:, last:]
+            if crowd and len(np.unique(held[1])) > crowd:
+                # No need to wait for the rest: a shingle of any number of sets is never held whole.
+                crowded = held[0, 0]
+                yield from of(held)
+                held = None
         if held is not None:
             yield from of(held)
 
@@ -230,9 +306,13 @@ def _cross(crowd: int | None):
 
 
 def _cross_pairs(rows: DataFrame, crowd: int | None) -> DataFrame:
-    """Distinct pairs of different components that meet at a shingle."""
-    spread = rows.repartition(partitions(rows.sparkSession), "shingle").sortWithinPartitions("shingle", "component", "key")
-    return spread.mapInArrow(_cross(crowd), "key long, n long, pivot long, pivot_n long").distinct()
+    """Pairs that meet at some shingle, and at how many: ``met``; see ``_cross``."""
+    spread = rows.repartition(partitions(rows.sparkSession), "shingle").sortWithinPartitions("shingle", "region", "key")
+    found = spread.mapInArrow(_cross(crowd), "key long, n long, pivot long, pivot_n long")
+    # Always the larger key first, so that a pair found at several shingles is one row.
+    first = "(key, n) > (pivot, pivot_n)"
+    sides = [F.when(F.expr(first), F.col(a)).otherwise(F.col(b)).alias(a) for a, b in (("key", "pivot"), ("n", "pivot_n"), ("pivot", "key"), ("pivot_n", "n"))]
+    return found.select(sides).groupBy("key", "n", "pivot", "pivot_n").agg(F.count("*").alias("met"))
 
 
 def join(docs: DataFrame, stage: Stage | None = None) -> DataFrame:
@@ -243,11 +323,12 @@ def join(docs: DataFrame, stage: Stage | None = None) -> DataFrame:
     profiles = stage.table(docs.mapInArrow(_profiles, _PROFILE), "profiles")
 
     heads = profiles.where("head is not null").select(F.explode("head").alias("shingle"), "key", "n")
-    regions = stage.table(runs(heads), "regions")
+    regions = stage.table(runs(heads).select("shingle", "key", "n"), "shared")
 
     # Sets that share enough of their head to have a link at all, and these sets in full.
-    window = F.floor((3 * F.col("n") + 35) / 32)
-    near = regions.groupBy("key", "n").agg(F.count("*").alias("met")).where(F.col("met") >= window)
+    window = F.floor(F.col("n") / 8) + 1
+    met = regions.groupBy("key", "n").agg(F.count("*").alias("met")).where(F.col("met") >= window)
+    near = stage.table(met.select("key", "n", F.floor(1000 * F.col("met") / (F.floor(F.col("n") * 3 / 8) + 1)).alias("central")), "near")
     ids = profiles.groupBy("key", "n").agg(F.min("doc_id").alias("doc_id"))
     near_ids = ids.join(near, ["key", "n"], "left_semi").select(F.col("doc_id").alias("near_id"))
     texts = docs.join(near_ids.distinct(), F.col("doc_id").eqNullSafe(F.col("near_id")), "left_semi").select("text")
@@ -255,8 +336,9 @@ def join(docs: DataFrame, stage: Stage | None = None) -> DataFrame:
 
     # Distances to pivots.
     size = F.least(F.floor(F.col("n") * 3 / 8) + 1, F.floor(F.col("pivot_n") * 3 / 8) + 1)
+    regions = stage.table(regions.join(near, ["key", "n"]), "regions")
     to_pivots = (
-        regions.where("(key, n) != (pivot, pivot_n)").groupBy("key", "n", "pivot", "pivot_n").agg(F.count("*").alias("met"))
+        runs(regions, F.desc("central")).where("(key, n) != (pivot, pivot_n)").groupBy("key", "n", "pivot", "pivot_n").agg(F.count("*").alias("met"))
         .where(F.col("met") >= 0.4 * size).where(_FITS)
     )
     to_pivots = stage.table(to_pivots.select("key", "n", "pivot", "pivot_n"), "to-pivots")
@@ -264,30 +346,37 @@ def join(docs: DataFrame, stage: Stage | None = None) -> DataFrame:
     links = _linked(measured).select(_node("key", "n").alias("u"), _node("pivot", "pivot_n").alias("v"))
     first = components(links, stage, "first")
 
-    # Pairs of different components that meet in a region.
-    placed = stage.table(
-        regions.join(near, ["key", "n"], "left_semi")
-        .withColumn("node", _node("key", "n"))
-        .join(first, "node", "left")
-        .select("shingle", F.xxhash64(F.coalesce("component", "node")).alias("component"), "key", "n"),
-        "placed",
-    )
-    met = placed.groupBy("shingle").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.approx_count_distinct("component", 0.1).alias("about")
-    )
-    met = stage.table(met.where("low <> high").select("shingle", (F.col("about") > CROWD).alias("crowded")), "met")
-    open_rows = placed.join(met.where("not crowded"), "shingle", "left_semi")
-    pairs = _cross_pairs(open_rows, None)
-
-    # Heavy sets.
-    heavy = placed.join(met.where("crowded"), "shingle", "left_semi").groupBy("key", "n").agg(F.count("*").alias("met"))
-    heavy = stage.table(heavy.where(F.col("met") >= window).select("key", "n"), "heavy")
+    # Each set's region (its nearest pivot, a pivot's own) and component so far.
+    near_by = F.col("shared") / (F.col("n") + F.col("pivot_n") - F.col("shared"))
+    homes = measured.groupBy("key", "n").agg(F.max_by(F.struct("pivot", "pivot_n", "shared"), F.struct(near_by, "pivot", "pivot_n")).alias("home"))
+    pivots = measured.select(F.col("pivot").alias("key"), F.col("pivot_n").alias("n")).distinct()
+    homes = stage.table(homes.join(pivots, ["key", "n"], "left_anti").select("key", "n", "home.*").withColumn("node", _node("key", "n")), "homes")
+    marks = near.withColumn("node", _node("key", "n")).join(first, "node", "left").join(homes.drop("node"), ["key", "n"], "left")
+    marks = marks.select(
+        "key", "n", F.xxhash64(F.coalesce("component", "node")).alias("component"),
+        F.xxhash64(F.coalesce("pivot", "key"), F.coalesce("pivot_n", "n")).alias("region"),
+    )
+    marks = stage.table(marks, "marks")
+
+    # Pairs of different regions that meet, and the number of crowded shingles of each set.
+    met = stage.table(_cross_pairs(regions.select("shingle", "key", "n").join(marks, ["key", "n"]), CROWD), "met")
+    crowds = met.where("(key, n) = (pivot, pivot_n)").select("key", "n", F.col("met").alias("crowded"))
+    # Linked sets share at least ``least`` of their heads; of these, some may have met at crowded shingles.
+    both = F.ceil(3 * (F.col("n") + F.col("pivot_n")) / 7)
+    least = F.least(*[F.floor(F.col(n) * 3 / 8) + 1 - F.col(n) + both for n in ("n", "pivot_n")])
+    pairs = met.where("(key, n) != (pivot, pivot_n)").join(crowds, ["key", "n"], "left")
+    pairs = pairs.where(F.col("met") + F.coalesce("crowded", F.lit(0)) >= least).drop("met", "crowded")
+    heavy = stage.table(crowds.where(F.col("crowded") >= window).select("key", "n"), "heavy")
     if not heavy.isEmpty():
-        pairs = pairs.union(_heavy_pairs(heavy, sets, first, stage)).distinct()
+        pairs = pairs.union(_heavy_pairs(heavy, sets, marks, stage))
+
+    # Pairs inside regions.
+    within, inside = _within(homes, first, sets, stage)
+    pairs = stage.table(pairs.union(within).distinct(), "met-pairs")
     pairs = stage.table(_windowed(pairs, measured), "pairs")
     more = _linked(distances(pairs, sets)).select(_node("key", "n").alias("u"), _node("pivot", "pivot_n").alias("v"))
     known = first.where("node <> component").select(F.col("node").alias("u"), F.col("component").alias("v"))
-    final = components(known.union(more), stage, "final")
+    final = components(known.union(more).union(inside), stage, "final")
 
     classes = profiles.groupBy("key", "n").agg(F.min("doc_id").alias("low")).withColumn("node", _node("key", "n"))
     classes = stage.table(classes.join(final, "node", "left").withColumn("component", F.coalesce("component", "node")), "classes")
@@ -317,16 +406,81 @@ def _windowed(pairs: DataFrame, measured: DataFrame) -> DataFrame:
     return pairs.join(drop, names, "left_anti")
 
 
-def _heavy_pairs(heavy: DataFrame, sets: DataFrame, first: DataFrame, stage: Stage) -> DataFrame:
-    """Pairs of heavy sets that share one of their rarest shingles; whole sets, nothing left out."""
-    full = sets.join(heavy, ["key", "n"], "left_semi").select("key", "n", F.explode("members").alias("shingle"))
-    full = stage.table(full.distinct(), "heavy-sets")
-    counts = full.groupBy("shingle").agg(F.count("*").alias("held"))
+def _heavy_pairs(heavy: DataFrame, sets: DataFrame, marks: DataFrame, stage: Stage) -> DataFrame:
+    """Pairs of heavy sets that share one of their rarest shingles; whole sets, nothing left out.
+
+    Shingles that one heavy set alone holds are rarest. A set of which these are more than it can do without has no
+    link; only what is left is sorted by frequency.
+    """
+    chosen = sets.join(heavy, ["key", "n"], "left_semi")
+    for part in (2, 1):
+        # First half of every set, then what is left in whole.
+        members = F.slice("members", F.lit(1), F.ceil(F.col("n") / part).cast("int"))
+        held = stage.table(runs(chosen.select(F.explode(members).alias("shingle"), "key", "n")).select("shingle", "key", "n"), f"heavy-shared-{part}")
+        spare = F.col("n") - F.ceil(0.75 * F.col("n")) + 1 - (F.ceil(F.col("n") / part) - F.col("kept"))
+        kept = held.groupBy("key", "n").agg(F.count("*").alias("kept")).withColumn("spare", spare).where("spare > 0")
+        kept = stage.table(kept.drop("kept"), f"heavy-kept-{part}")
+        chosen = chosen.join(kept, ["key", "n"], "left_semi")
+    held = held.join(kept, ["key", "n"])
+    counts = held.groupBy("shingle").agg(F.count("*").alias("held")).where("held > 1")
     order = Window.partitionBy("key", "n").orderBy("held", "shingle")
-    rare = (
-        full.join(counts, "shingle").withColumn("place", F.row_number().over(order))
-        .where(F.col("place") <= F.col("n") - F.ceil(0.75 * F.col("n")) + 1).where("held > 1")
-        .withColumn("node", _node("key", "n")).join(first, "node", "left")
-        .select("shingle", F.xxhash64(F.coalesce("component", "node")).alias("component"), "key", "n")
+    rare = held.join(counts, "shingle").withColumn("place", F.row_number().over(order)).where("place <= spare")
+    return _cross_pairs(rare.select("shingle", "key", "n").join(marks, ["key", "n"]), None).drop("met")
+
+
+def _within(homes: DataFrame, first: DataFrame, sets: DataFrame, stage: Stage) -> tuple[DataFrame, DataFrame]:
+    """Pairs to compare in small regions, and links (``u, v``) found in large ones, of sets of one region."""
+    apart = F.col("n") + F.col("pivot_n") - 2 * F.col("shared")
+    members = homes.select("key", "n", "pivot", "pivot_n", "node", apart.alias("apart")).join(first, "node", "left")
+    members = members.withColumn("component", F.xxhash64(F.coalesce("component", "node"))).drop("node")
+    members = members.withColumn("loose", 7 * F.col("apart") > F.col("n") + F.col("pivot_n"))
+    cells = members.groupBy("pivot", "pivot_n").agg(F.count("*").alias("size"), F.count_if("loose").alias("loose_ones"))
+    cells = cells.where("size > 1 and loose_ones > 0").drop("loose_ones")
+    members = stage.table(members.join(cells, ["pivot", "pivot_n"]), "members")
+    one = members.where("loose")
+    names = ["key", "n", "apart", "component"]
+    other = members.select("pivot", "pivot_n", *[F.col(c).alias(f"other_{c}") for c in names])
+    # Links keep within a seventh of both sizes; so does the difference of their distances to the pivot.
+    possible = (
+        (F.struct("key", "n") != F.struct("other_key", "other_n")) & (F.col("component") != F.col("other_component"))
+        & (7 * F.abs(F.col("apart") - F.col("other_apart")) <= F.col("n") + F.col("other_n"))
     )
-    return _cross_pairs(rare, None)
+    small = one.where(F.col("size") <= CROWD).join(other, ["pivot", "pivot_n"]).where(possible)
+    small = small.select("key", "n", F.col("other_key").alias("pivot"), F.col("other_n").alias("pivot_n")).where(_FITS)
+    first_key = F.struct("key", "n") > F.struct("pivot", "pivot_n")
+    small = small.select(*[F.when(first_key, F.col(a)).otherwise(F.col(b)).alias(a) for a, b in (("key", "pivot"), ("n", "pivot_n"), ("pivot", "key"), ("pivot_n", "n"))])
+
+    large = members.where(F.col("size") > CROWD)
+    rows = _beside(large.select("key", "n", "pivot", "pivot_n"), sets)
+    rows = rows.mapInArrow(_differences, "key long, n long, pivot long, pivot_n long, shingle long").distinct()
+    rows = stage.table(rows, "differences")
+    cell = ["pivot", "pivot_n"]
+    shared = rows.groupBy(*cell, "shingle").agg(F.count("*").alias("held"), F.min("key").alias("key"), F.min("n").alias("n"))
+    shared = stage.table(shared, "difference-counts")
+    lone = shared.where("held = 1").groupBy(*cell, "key", "n").agg(F.count("*").alias("lone"))
+    large = large.join(lone, [*cell, "key", "n"], "left").withColumn("lone", F.coalesce("lone", F.lit(0)))
+    # x, loose, and y can only link if x.apart - x.n / 7 <= y.apart - 2 * y.lone + y.n / 7, and the same with x.lone.
+    reach, need = 7 * (F.col("apart") - 2 * F.col("lone")) + F.col("n"), 7 * F.col("apart") - F.col("n")
+    large = stage.table(large.withColumn("reach", reach).withColumn("need", need), "large")
+    most = large.groupBy(*cell).agg(F.max("reach").alias("most"))
+    loose = large.where("loose").join(most, cell).where("need <= most").drop("most")
+    least = loose.groupBy(*cell).agg(F.min("need").alias("fewest"), F.max("reach").alias("loose_reach"))
+    rest = large.join(least, cell).where("reach >= fewest and need <= loose_reach").drop("loose_reach")
+    both = rows.join(shared.where("held > 1").select(*cell, "shingle", "held"), [*cell, "shingle"])
+    left = both.join(loose.select(*cell, *names, "need", "reach"), [*cell, "key", "n"]).drop("held")
+    right = both.join(rest.select(*cell, *names, "need", "reach", "fewest"), [*cell, "key", "n"])
+    # y shares this many of its differences at least with any loose set of its region, so of its shared differences,
+    # rarest first, all but so many are enough to meet it.
+    fewest = F.greatest(F.ceil((F.col("fewest") + F.col("need")) / 14), F.lit(1))
+    of_one = Window.partitionBy(*cell, "key", "n")
+    right = right.withColumn("place", F.row_number().over(of_one.orderBy("held", "shingle"))).withColumn("of", F.count("*").over(of_one))
+    right = right.where(F.col("place") <= F.col("of") - fewest + 1)
+    right = right.select(*cell, "shingle", *[F.col(c).alias(f"other_{c}") for c in (*names, "need", "reach")])
+    met = left.join(right, [*cell, "shingle"]).where(possible).where("need <= other_reach and other_need <= reach")
+    met = met.select(*cell, "key", "n", "apart", "other_key", "other_n", "other_apart").distinct()
+    whole = both.groupBy(*cell, "key", "n").agg(F.collect_list("shingle").alias("own"))
+    other = whole.select(*cell, F.col("key").alias("other_key"), F.col("n").alias("other_n"), F.col("own").alias("other_own"))
+    met = met.join(whole, [*cell, "key", "n"]).join(other, [*cell, "other_key", "other_n"])
+    met = met.withColumn("common", F.size(F.array_intersect("own", "other_own")))
+    found = met.where("7 * (apart + other_apart - 2 * common) <= n + other_n")
+    return small, found.select(_node("key", "n").alias("u"), _node("other_key", "other_n").alias("v"))
