@@ -13,7 +13,7 @@ anywhere in the document. The search is a containment search by MinHash:
 
 Documents are read once for each block of the benchmark, where they lie: nothing of them is shuffled. A block
 holds at most ``BLOCK`` shingles (32 MB; a single longer item is a block of its own), and only a block is
-ever broadcast.
+ever sent to the tasks.
 
 NULL texts count as empty; items or documents without words match nothing. An item with fewer than five
 words is one shingle and matches only a document that consists of exactly these words. Items with equal
@@ -151,14 +151,13 @@ def find(docs: DataFrame, items: DataFrame) -> DataFrame:
     schema = "doc_id long, item_id long, n_item long, n_found long"
     result = spark.createDataFrame([], schema)
     for block in blocks(items):
-        shared = spark.sparkContext.broadcast(block)
 
-        def search(batches, shared=shared):
+        def search(batches, block=block):
             for batch in batches:
                 for part in chunks(batch, "text"):
                     ids, rows = part.column("doc_id").to_pylist(), []
-                    for doc, item, n in shared.value.found(part.column("text")):
-                        rows += [(ids[doc], i, len(shared.value.sets[item]), n) for i in shared.value.ids[item]]
+                    for doc, item, n in block.found(part.column("text")):
+                        rows += [(ids[doc], i, len(block.sets[item]), n) for i in block.ids[item]]
                     columns = zip(*rows) if rows else ([], [], [], [])
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["doc_id", "item_id", "n_item", "n_found"])
 
@@ -169,13 +168,12 @@ def find(docs: DataFrame, items: DataFrame) -> DataFrame:
 def remove(docs: DataFrame, items: DataFrame) -> DataFrame:
     """``docs`` (any columns, among them ``text``) without the rows in which an item is found; no shuffle."""
     for block in blocks(items):
-        shared = docs.sparkSession.sparkContext.broadcast(block)
 
-        def keep(batches, shared=shared):
+        def keep(batches, block=block):
             for batch in batches:
                 for part in chunks(batch, "text"):
                     clean = np.ones(part.num_rows, bool)
-                    clean[[doc for doc, _, _ in shared.value.found(part.column("text"))]] = False
+                    clean[[doc for doc, _, _ in block.found(part.column("text"))]] = False
                     yield part.filter(pa.array(clean))
 
         docs = docs.mapInArrow(keep, docs.schema)

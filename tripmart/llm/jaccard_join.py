@@ -41,7 +41,7 @@ from tripmart.llm.staging import Stage, components, partitions
 from tripmart.llm.words import chunks, mixed, shingles
 
 #: At most this many components meet in a region that is compared pair by pair.
-CROWD = 64
+CROWD = 16
 #: Members of a pivot's region whose distance to it is worked out by one task.
 SHARE = 4096
 #: Pairs that a task holds at a time.

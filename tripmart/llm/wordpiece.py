@@ -8,7 +8,7 @@ read on from the root; ``pops(v)`` is how many were popped. The count of a word
 
 The trie is an open-addressing table of (node, byte) keys, so that a step for all words of a batch is a few
 array look-ups. Only the distinct words of a batch are read. The vocabulary must hold all single bytes, which makes
-every text countable. Its file is a parameter and is read on the driver; the automaton is a broadcast whose size
+every text countable. Its file is a parameter and is read on the driver; the automaton is sent to the tasks, and its size
 depends on the vocabulary alone (about 8 MB for 50,000 entries).
 
 Words are runs of characters other than space and tab to carriage return; case matters. NULL and empty texts
@@ -129,10 +129,9 @@ class Automaton:
 
 def count_tokens(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """``doc_id, n_words, n_tokens`` for every row of ``docs`` (``doc_id, text``)."""
-    shared = docs.sparkSession.sparkContext.broadcast(Automaton.of(read_vocabulary(vocabulary)))
+    automaton = Automaton.of(read_vocabulary(vocabulary))
 
     def count(batches):
-        automaton = shared.value
         for batch in batches:
             for part in chunks(batch, "text"):
                 data, offsets = buffers(part.column("text"))
