@@ -1,8 +1,10 @@
 import uuid
+from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
-from tripmart.operators.gold import build_gold
+from tripmart.operators.gold import MARTS, build_gold, stage_sums
 from tripmart.operators.quality import (
     quality_summary,
     require_non_empty,
@@ -122,3 +124,30 @@ def test_stages_use_the_shared_folder(spark):
     first, second = Stage(spark), Stage(spark)
     assert first.root.startswith(spark.conf.get("spark.checkpoint.dir"))
     assert first.root != second.root
+
+
+def test_stage_is_gone_after_a_run(spark, lakehouse, demo_trips, tmp_path):
+    demo_trips.write.csv(str(tmp_path / "landing"), header=True)
+    before = set(Path(spark.conf.get("spark.checkpoint.dir")).iterdir())
+    run_lakehouse(lakehouse, str(tmp_path / "landing"))
+    assert set(Path(spark.conf.get("spark.checkpoint.dir")).iterdir()) == before
+
+
+def test_failed_write_leaves_the_old_table(spark, lakehouse, finished):
+    bad = lakehouse.read("gold_daily_rides").withColumn("ride_date", F.expr("raise_error('broken')"))
+    with pytest.raises(Exception, match="broken"):
+        lakehouse.write(bad, "gold_daily_rides")
+    with pytest.raises(ValueError, match="gold_daily_rides is empty"):
+        lakehouse.write(lakehouse.read("gold_daily_rides").where("false"), "gold_daily_rides", allow_empty=False)
+    assert lakehouse.read("gold_daily_rides").count() == 4
+    # A table can be made from itself.
+    assert lakehouse.write(lakehouse.read("gold_daily_rides").limit(3), "gold_daily_rides") == 3
+    assert lakehouse.read("gold_daily_rides").count() == 3
+
+
+def test_gold_tables_are_written_without_sorting(spark, demo_trips):
+    with Stage(spark) as stage:
+        sums = stage_sums(transform_to_silver(demo_trips), stage)
+        for mart in MARTS.values():
+            text = mart.stored(sums[mart.source])._jdf.queryExecution().toString()
+            assert "rangepartitioning" not in text and "Sort [" not in text

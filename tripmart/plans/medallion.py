@@ -33,7 +33,10 @@ def run_lakehouse(
 
     Layers pass data on only through stored tables; each step can be run again by itself.
     """
-    stage = stage or Stage(lakehouse.spark)
+    if stage is None:
+        # Intermediate tables of the run's own are gone when it ends.
+        with Stage(lakehouse.spark) as own:
+            return run_lakehouse(lakehouse, input_path, zipped, columns, own)
     bronze_rows = ingest_bronze(lakehouse, input_path, zipped, columns, stage)
     silver_rows, quality = write_silver(lakehouse)
     gold_rows = build_gold(lakehouse, stage)

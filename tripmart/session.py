@@ -65,11 +65,17 @@ def shared_dir(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="tripmart-")
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 class Stage:
     """Writes intermediate results as tables and reads them back.
 
     A staged table is computed once however often it is used, ends the lineage, and outlives lost
-    executors. Each ``Stage`` has a folder of its own, so nothing is ever overwritten.
+    executors. Each ``Stage`` has a folder of its own, so nothing is ever overwritten. ``close``, or the
+    end of a ``with`` block, removes that folder; tables read from it can't be used any more.
     """
 
     def __init__(self, spark: SparkSession, root: str | None = None):
@@ -79,6 +85,15 @@ class Stage:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
+    def close(self) -> None:
+        remove_folder(self.spark, self.root)
+
+    def __enter__(self) -> Stage:
+        return self
+
+    def __exit__(self, *error: object) -> None:
+        self.close()
+
     def table(self, df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
         writer = df.write.mode("errorifexists")
         if partition_by:

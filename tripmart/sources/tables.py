@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tripmart.session import remove_folder
+
 # The aggregate tables, in the order they are built and registered.
 GOLD_TABLES = (
     "gold_daily_rides",
@@ -39,16 +42,42 @@ class Lakehouse:
     def read(self, table: str) -> DataFrame:
         return self.spark.read.format(self.fmt).load(self.path(table))
 
-    def write(self, df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> int:
+    def write(
+        self, df: DataFrame, table: str, partition_by: Sequence[str] = (), allow_empty: bool = True
+    ) -> int:
         """Replace a table, its schema included, and return the rows stored.
 
-        The count is read from the file footers of what was written; nothing is computed again.
+        Plain files are written to a folder beside the table, which takes its place when it is complete: a
+        run that fails leaves the table as it was. The count is read from the file footers of what was
+        written; nothing is computed again. Without ``allow_empty`` no rows are an error.
         """
+        path = self.path(table)
+        fresh = path if self.fmt != "parquet" else f"{path}-{uuid.uuid4().hex}"
         writer = df.write.format(self.fmt).mode("overwrite").option("overwriteSchema", True)
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        writer.save(self.path(table))
-        return self.read(table).count()
+        writer.save(fresh)
+        rows = self.spark.read.format(self.fmt).load(fresh).count()
+        if not rows and not allow_empty:
+            if fresh != path:
+                remove_folder(self.spark, fresh)
+            raise ValueError(f"{table} is empty. Check input paths and data filters.")
+        if fresh != path:
+            self._switch(fresh, path)
+        return rows
+
+    def _switch(self, fresh: str, path: str) -> None:
+        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        target, old = hadoop(path), hadoop(f"{fresh}-old")
+        files = target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        replaced = files.exists(target) and files.rename(target, old)
+        if not files.rename(hadoop(fresh), target):
+            if replaced:
+                files.rename(old, target)
+            raise OSError(f"{fresh} can't take the place of {path}")
+        if replaced:
+            files.delete(old, True)
+        self.spark.catalog.refreshByPath(path)
 
     def register(self, schema: str | None = None, tables: Sequence[str] = GOLD_TABLES) -> list[str]:
         """Make tables known by name; ones already registered stay as they are, but for new partitions.
