@@ -64,7 +64,7 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     stage = Stage(spark)
     warc.write(table(spark, sf_dir, "pages"), stage.path("archives"))
-    return warc.payloads(warc.read(spark, stage.path("archives"), stage), stage)
+    return warc.payloads(spark, stage.path("archives"), stage)
 
 
 @query()

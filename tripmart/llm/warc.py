@@ -3,7 +3,7 @@
 Writing: one record per page, the html as an HTTP response. Of pages with equal payloads of at least
 ``LEAST_BYTES`` bytes, the one with the smallest page_id is a ``response``; the others are ``revisit`` records
 without content that name it. Records are rows of a text sink whose line separator is the end of a WARC record,
-so the files are plain WARC 1.1, split over as many files as there are partitions and committed by Spark.
+so the files are WARC 1.1, plain or gzip, as many as there are partitions, and committed by Spark.
 
 Reading: files are read in splits, cut at every occurrence of the magic ``WARC/1.1``, in payloads too. Each piece
 that parses as a header is a candidate record, whose lengths give the offset of its successor. The chain of
@@ -58,27 +58,52 @@ def records(pages: DataFrame) -> DataFrame:
     return rows.select(F.concat(header, block).alias("record"))
 
 
-def write(pages: DataFrame, path: str) -> None:
+def write(pages: DataFrame, path: str, compression: str = "gzip") -> None:
+    """Archives as files below ``path``; ``compression`` is ``gzip`` (of whole files) or ``none``."""
     # The sink ends each row with its separator, which is what ends a record.
-    records(pages).write.option("lineSep", END).option("compression", "none").text(path)
+    records(pages).write.option("lineSep", END).option("compression", compression).text(path)
+
+
+def _html(text: Column) -> Column:
+    """The payload of a record: what follows its header and the HTTP header, without the end of the record."""
+    block = F.substr(text, F.length(F.regexp_extract(text, _HEADER, 0)) + 1)
+    block = F.regexp_replace(block, r"\r\n\r\n\z", "")
+    return F.when(block == "", "").otherwise(F.substr(block, F.instr(block, END) + len(END)))
+
+
+def _fields(text: Column) -> dict[str, Column]:
+    head = F.regexp_extract(text, _HEADER, 0)
+    field = lambda name: F.nullif(F.regexp_extract(head, rf"{name}([^\r\n>]*)", 1), F.lit(""))
+    return {
+        "page_id": field("WARC-Record-ID: <urn:page:").try_cast("long"),
+        "record_type": field("WARC-Type: "),
+        "refers_to": field("WARC-Refers-To: <urn:page:").try_cast("long"),
+        "header_digest": field("WARC-Payload-Digest: sha256:"),
+    }
 
 
 def pieces(spark: SparkSession, path: str) -> DataFrame:
-    """``file, offset, next, piece``: what follows each magic, where the magic is, and where the record should end.
+    """``file, offset, next, piece``: what follows each magic, where the magic is, and where the record should end;
+    the fields of its header, and ``bytes`` and ``digest`` of the payload of a record that is one piece.
 
-    ``next`` is NULL where no header follows. Only small columns reach the shuffle if ``piece`` isn't used.
+    ``next`` is NULL where no header follows. All but ``piece`` are worked out where a file is read, and only small
+    columns reach the shuffle if ``piece`` isn't used.
     """
     header = F.regexp_extract("value", _HEADER, 0)
+    length = _bytes(F.col("value")) + len(MAGIC)
     span = F.when(header != "", len(MAGIC) + _bytes(header) + F.regexp_extract("value", _HEADER, 2).try_cast("long") + len(END))
     lines = spark.read.option("lineSep", MAGIC).text(path).select(
         "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"),
-        F.monotonically_increasing_id().alias("row"), (_bytes(F.col("value")) + len(MAGIC)).alias("length"), span.alias("span"),
+        F.monotonically_increasing_id().alias("row"), length.alias("length"), span.alias("span"),
     )
+    html = F.when(F.col("span") == F.col("length"), _html(F.col("value")))
+    lines = lines.withColumns({**_fields(F.col("value")), "bytes": _bytes(html), "digest": F.sha2(html.cast("binary"), 256)})
     # Rows keep their order within a split; splits of a file follow each other. The piece before the first magic of
     # a file is empty and has no magic of its own: all offsets are one magic less.
     earlier = Window.partitionBy("file").orderBy("split", "row").rowsBetween(Window.unboundedPreceding, -1)
     placed = lines.withColumn("offset", F.coalesce(F.sum("length").over(earlier), F.lit(0)) - len(MAGIC))
-    return placed.where("offset >= 0").select("file", "offset", (F.col("offset") + F.col("span")).alias("next"), F.col("value").alias("piece"))
+    placed = placed.where("offset >= 0").withColumn("next", F.col("offset") + F.col("span"))
+    return placed.withColumnRenamed("value", "piece").drop("split", "row", "length", "span")
 
 
 def chain(candidates: DataFrame, stage: Stage) -> DataFrame:
@@ -99,45 +124,54 @@ def chain(candidates: DataFrame, stage: Stage) -> DataFrame:
         turn += 1
 
 
-def read(spark: SparkSession, path: str, stage: Stage | None = None) -> DataFrame:
-    """``page_id, record_type, refers_to, header_digest, html`` of every true record below ``path``."""
-    stage = stage or Stage(spark)
-    found = pieces(spark, path)
-    candidates = found.where("next is not null").select("file", "offset", "next")
-    true = chain(stage.table(candidates, "candidates"), stage)
+_FIELDS = ("page_id", "record_type", "refers_to", "header_digest")
+
+
+def records_of(spark: SparkSession, path: str, stage: Stage) -> DataFrame:
+    """``file, offset``, header fields, ``bytes`` and ``digest`` of every true record; the last two are NULL if its
+    payload holds the magic."""
+    candidates = pieces(spark, path).where("next is not null").select("file", "offset", "next", *_FIELDS, "bytes", "digest")
+    candidates = stage.table(candidates, "candidates")
+    true = chain(candidates.select("file", "offset", "next"), stage)
+    return stage.table(candidates.join(true, ["file", "offset"]), "records")
+
+
+def whole(spark: SparkSession, path: str, true: DataFrame) -> DataFrame:
+    """``page_id, record_type, refers_to, header_digest, html`` of true records (``file, offset``), of all there are in
+    their files."""
     # Pieces without a true record at their own offset go on with the record before them.
-    owned = found.join(true.withColumn("own", F.col("offset")), ["file", "offset"], "left")
+    found = pieces(spark, path).select("file", "offset", "piece").join(true.select("file").distinct(), "file", "left_semi")
+    owned = found.join(true.select("file", "offset", F.col("offset").alias("own")), ["file", "offset"], "left")
     owner = F.last("own", ignorenulls=True).over(Window.partitionBy("file").orderBy("offset"))
     owned = owned.withColumn("owner", owner).where("owner is not null")
     parts = F.transform(F.array_sort(F.collect_list(F.struct("offset", "piece"))), lambda x: x["piece"])
-    whole = owned.groupBy("file", "owner").agg(F.array_join(parts, MAGIC).alias("record"))
-    # What ends a record is no part of its block.
-    block = F.substr(F.col("record"), F.length(F.regexp_extract("record", _HEADER, 0)) + 1)
-    block = F.regexp_replace(block, r"\r\n\r\n\z", "")
-    head = F.regexp_extract("record", _HEADER, 0)
-    field = lambda name: F.nullif(F.regexp_extract(head, rf"{name}([^\r\n>]*)", 1), F.lit(""))
-    html = F.substr(F.col("block"), F.when(F.col("block") == "", 1).otherwise(F.instr("block", END) + len(END)))
-    return (
-        whole.withColumn("block", block)
-        .select(
-            field("WARC-Record-ID: <urn:page:").cast("long").alias("page_id"), field("WARC-Type: ").alias("record_type"),
-            field("WARC-Refers-To: <urn:page:").cast("long").alias("refers_to"), field("WARC-Payload-Digest: sha256:").alias("header_digest"),
-            html.alias("html"),
-        )
-    )
+    text = owned.groupBy("file", "owner").agg(F.array_join(parts, MAGIC).alias("record"))
+    fields = [column.alias(name) for name, column in _fields(F.col("record")).items()]
+    return text.select("file", F.col("owner").alias("offset"), *fields, _html(F.col("record")).alias("html"))
 
 
-def payloads(read_back: DataFrame, stage: Stage) -> DataFrame:
-    """``page_id, payload_bytes, payload_digest, record_type, refers_to``; revisits have the payload of their response."""
-    rows = stage.table(
-        read_back.select(
-            "page_id", "record_type", "refers_to", "header_digest", _bytes(F.col("html")).alias("bytes"), F.sha2(F.col("html").cast("binary"), 256).alias("digest")
-        ),
-        "read",
-    )
+def read(spark: SparkSession, path: str, stage: Stage | None = None) -> DataFrame:
+    """``page_id, record_type, refers_to, header_digest, html`` of every true record below ``path``."""
+    return whole(spark, path, records_of(spark, path, stage or Stage(spark))).select(*_FIELDS, "html")
+
+
+def payloads(spark: SparkSession, path: str, stage: Stage) -> DataFrame:
+    """``page_id, payload_bytes, payload_digest, record_type, refers_to`` of every true record below ``path``.
+
+    Revisits have the payload of their response. Payloads are digested where they are read; only of files with a
+    payload that holds the magic is text brought together.
+    """
+    true = records_of(spark, path, stage)
+    rows = true.where("digest is not null").select(*_FIELDS, "bytes", "digest")
+    split = true.where("digest is null").select("file", F.col("offset").alias("begin"))
+    if not split.isEmpty():
+        files = true.join(split.select("file").distinct(), "file", "left_semi")
+        text = whole(spark, path, files).join(split.withColumnRenamed("begin", "offset"), ["file", "offset"], "left_semi")
+        rows = rows.union(text.select(*_FIELDS, _bytes(F.col("html")), F.sha2(F.col("html").cast("binary"), 256)))
+    rows = stage.table(rows, "read")
     own = rows.where("record_type = 'response'")
-    whole = own.groupBy(F.col("page_id").alias("refers_to"), F.col("digest").alias("header_digest")).agg(F.max("bytes").alias("whole"))
-    again = rows.where("record_type = 'revisit'").join(whole, ["refers_to", "header_digest"])
+    first = own.groupBy(F.col("page_id").alias("refers_to"), F.col("digest").alias("header_digest")).agg(F.max("bytes").alias("whole"))
+    again = rows.where("record_type = 'revisit'").join(first, ["refers_to", "header_digest"])
     names = ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
     return own.select("page_id", "bytes", "digest", "record_type", "refers_to").toDF(*names).union(
         again.select("page_id", "whole", "header_digest", "record_type", "refers_to").toDF(*names)
