@@ -46,7 +46,7 @@ def test_many_shards_and_norms(spark, monkeypatch):
     rows = [(i, v.tolist()) for i, v in enumerate(x)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     monkeypatch.setattr(vectors, "SHARD", 1000)
-    monkeypatch.setattr(vectors, "CANDIDATES", 600)
+    monkeypatch.setattr(vectors, "CANDIDATES", 3000)
     got = by_query(vectors.search(df, df.where("vec_id % 20 = 0")))
     want = brute(rows, rows[::20])
     assert recall(got, want) >= 0.9
