@@ -484,3 +484,25 @@ def _within(homes: DataFrame, first: DataFrame, sets: DataFrame, stage: Stage) -
     met = met.withColumn("common", F.size(F.array_intersect("own", "other_own")))
     found = met.where("7 * (apart + other_apart - 2 * common) <= n + other_n")
     return small, found.select(_node("key", "n").alias("u"), _node("other_key", "other_n").alias("v"))
+
+
+#: Every pair that shares a shingle, and all that links lead to: for small tables.
+SQL = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda k: array_to_string(w[k:k + 4], ' ')) END) AS s
+  FROM d
+), n AS (
+  SELECT doc_id, count(s) AS n FROM d LEFT JOIN s USING (doc_id) GROUP BY 1
+), c AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b USING (s) WHERE a.doc_id <> b.doc_id GROUP BY 1, 2
+), l AS (
+  SELECT x, y FROM c JOIN n nx ON x = nx.doc_id JOIN n ny ON y = ny.doc_id WHERE 100 * c >= 75 * (nx.n + ny.n - c)
+), r AS (
+  SELECT doc_id, doc_id AS other FROM d UNION SELECT r.doc_id, l.y FROM r JOIN l ON r.other = l.x
+)
+SELECT doc_id, n AS n_shingles, min(other) AS component_id FROM r JOIN n USING (doc_id) GROUP BY 1, 2
+"""
