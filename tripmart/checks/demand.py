@@ -9,12 +9,14 @@ from __future__ import annotations
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
-from tripmart.checks.adapters import DEMAND_SQL, demand_trips
+from tripmart.checks.adapters import DEMAND_SQL, SILVER_SQL, demand_trips, raw_trips
 from tripmart.checks.registry import check, half_up, time_text
 from tripmart.functions.geo import area_id
 from tripmart.operators import classifier, evaluation, panel as panels
 from tripmart.operators.panel import HOUR, PanelOptions
+from tripmart.operators.silver import write_silver
 from tripmart.session import Stage
+from tripmart.sources.tables import Lakehouse
 
 TRAIN_TOP = PanelOptions(top_areas=5)
 ALL_TOP = PanelOptions(top_areas=5, scope="all", spine="top_areas", quantile="exact")
@@ -231,6 +233,18 @@ def rush_panel_whole_period_check(spark, sf_dir):
     return rush_panel(spark, sf_dir, ALL_TOP).data
 
 
+SILVER_STARTS = "demand_trips as (select started_at, start_lat, start_lng from silver)"
+
+
+@check("rush_panel_of_silver", f"with {SILVER_SQL}, {PANEL_SQL.replace(DEMAND_SQL, SILVER_STARTS)} {PANEL_SELECT}")
+def rush_panel_of_silver_check(spark, sf_dir):
+    """From raw trips through a stored Silver table."""
+    lakehouse = Lakehouse(spark, Stage(spark).root)
+    lakehouse.write(raw_trips(spark, sf_dir), "bronze")
+    write_silver(lakehouse)
+    return panels.build_rush_panel(lakehouse.read("silver"), TRAIN_TOP).data
+
+
 @check(
     "split_summary",
     f"""with {PANEL_SQL} select case split when 'train' then 'Train' else 'Test' end as split,

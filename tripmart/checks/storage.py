@@ -192,6 +192,17 @@ def register_tables_check(spark, sf_dir):
     return spark.sql(" UNION ALL ".join(counts))
 
 
+def _register_stored(table: str) -> None:
+    @check(f"stored_{table}", f"with {SILVER_SQL}, {GOLD_CTES} select * from {table}")
+    def stored_check(spark, sf_dir):
+        """The table as ``build_gold`` stores it, from the staged sums."""
+        return stored_gold(spark, sf_dir).read(table)
+
+
+for _table in GOLD_TABLES:
+    _register_stored(_table)
+
+
 PREVIEW_ORDER = {
     "gold_daily_rides": "ride_date",
     "gold_hourly_demand": """case day_of_week when 'Sunday' then 1 when 'Monday' then 2 when 'Tuesday' then 3
