@@ -49,3 +49,11 @@ def test_size_bounds_are_sound():
     for n in range(1, 60):
         low, high = licenses.bounds(n)
         assert all((2 * min(n, m) / (n + m) >= licenses.LEAST - 1e-12) == (low <= m <= high) for m in range(1, 120))
+
+
+def test_every_match_holds_a_signal_word():
+    for _, text in licenses.TEMPLATES:
+        own = licenses._bigrams_of(text)
+        words = licenses.signal_words(own)
+        held = sum(any(word in words for word in gram.split(" ")) for gram in own)
+        assert len(own) - held < licenses.LEAST / (2 - licenses.LEAST) * len(own)

@@ -48,6 +48,10 @@ TEMPLATES = (
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+#: Words of the templates that most texts hold, so that they tell little.
+FREQUENT = ("a", "and", "any", "be", "by", "can", "file", "found", "in", "is", "it", "may", "not", "of", "or", "person", "that", "the", "this", "to", "under", "use", "with", "without", "work", "you")
+
+
 def _bigrams_of(text: str) -> list[str]:
     words = re.findall(r"[a-z0-9]+", text.lower())
     return list(dict.fromkeys(f"{a} {b}" for a, b in zip(words, words[1:])))
@@ -67,16 +71,29 @@ def bounds(size: int | float, least: float = LEAST) -> tuple[int, int]:
     return math.ceil(size * least / (2 - least) - 1e-9), math.floor(size * (2 - least) / least + 1e-9)
 
 
+def signal_words(grams: list[str], least: float = LEAST) -> list[str]:
+    """Words of which any match of a template must hold one; longest first, as they are rarest in other texts."""
+    pairs = [gram.split(" ") for gram in grams]
+    lacking = len(pairs) - math.ceil(len(pairs) * least / (2 - least) - 1e-9)
+    words = sorted({word for pair in pairs for word in pair}, key=lambda word: (word in FREQUENT, -len(word), word))
+    chosen: list[str] = []
+    while sum(any(word in chosen for word in pair) for pair in pairs) <= lacking:
+        chosen.append(words[len(chosen)])
+    return chosen
+
+
 def scan(docs: DataFrame, templates=TEMPLATES, least: float = LEAST) -> DataFrame:
     """``doc_id, line, license, template, dice`` for every unit that matches; line 0 is the whole text."""
     known = [(i, name, _bigrams_of(text)) for i, (name, text) in enumerate(templates)]
     sizes = [len(grams) for _, _, grams in known]
     low, high = bounds(min(sizes), least)[0], bounds(max(sizes), least)[1]
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
+    signals = sorted({word for _, _, grams in known for word in signal_words(grams, least)})
+    signal = f"(?i){'|'.join(signals)}"
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).where(F.col("text").rlike(signal))
     lines = rows.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "unit")).select("doc_id", (F.col("line") + 1).alias("line"), "unit")
     whole = rows.where(F.contains("text", F.lit("\n"))).select("doc_id", F.lit(0).alias("line"), F.col("text").alias("unit"))
-    units = lines.union(whole).withColumn("words", F.split(_normal(F.col("unit")), " "))
+    units = lines.union(whole).where(F.col("unit").rlike(signal)).withColumn("words", F.split(_normal(F.col("unit")), " "))
     units = units.where(F.size("words") > low).drop("unit").withColumn("grams", _bigrams(F.col("words"))).drop("words")
     units = units.withColumn("n", F.size("grams")).where(F.col("n").between(low, high))
     # One comparison for each template within the size bounds.
