@@ -4,6 +4,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from tripmart.__main__ import main
 from tripmart.operators.gold import MARTS, build_gold, stage_sums
 from tripmart.operators.quality import (
     quality_summary,
@@ -151,3 +152,14 @@ def test_gold_tables_are_written_without_sorting(spark, demo_trips):
         for mart in MARTS.values():
             text = mart.stored(sums[mart.source])._jdf.queryExecution().toString()
             assert "rangepartitioning" not in text and "Sort [" not in text
+
+
+def test_jobs_from_the_command_line(lakehouse, demo_trips, tmp_path, capsys):
+    demo_trips.write.csv(str(tmp_path / "landing"), header=True)
+    main(["run", str(tmp_path / "landing"), lakehouse.root])
+    main(["validate", lakehouse.root])
+    main(["preview", lakehouse.root])
+    shown = capsys.readouterr().out
+    assert "gold_monthly_summary: 1 rows" in shown and "OK" in shown and "North Quay" in shown
+    with pytest.raises(SystemExit):
+        main(["unknown"])
