@@ -224,7 +224,10 @@ def redact(docs: DataFrame) -> DataFrame:
     finish = lambda done: F.concat(done["out"], F.substring(filled, done["at"] + 1, F.length(filled)))
     secret = filled.rlike(ASSIGN_LOOK) | filled.rlike(ACCESS) | filled.rlike(HEX) | filled.rlike(CANDIDATE)
     clean = F.when(secret, F.aggregate(spans, start, step, finish)).otherwise(text)
-    columns = {"text": clean}
+    # The length is taken in a step of its own, from the finished text.
+    flag = next(name for name in (f"redacted_{i}" for i in range(len(docs.columns) + 1)) if name not in docs.columns)
+    done = docs.withColumns({flag: secret, "text": clean})
     if "n_chars" in docs.columns:
-        columns["n_chars"] = F.when(secret, F.length(clean).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-    return docs.withColumns(columns)
+        size = F.length("text").cast(docs.schema["n_chars"].dataType)
+        done = done.withColumn("n_chars", F.when(F.col(flag), size).otherwise(F.col("n_chars")))
+    return done.drop(flag)
