@@ -416,7 +416,9 @@ def _heavy_pairs(heavy: DataFrame, sets: DataFrame, marks: DataFrame, stage: Sta
     for part in (2, 1):
         # First half of every set, then what is left in whole.
         members = F.slice("members", F.lit(1), F.ceil(F.col("n") / part).cast("int"))
-        held = stage.table(runs(chosen.select(F.explode(members).alias("shingle"), "key", "n")).select("shingle", "key", "n"), f"heavy-shared-{part}")
+        # Dealt out evenly: where the sets were stored, heavy ones may lie together.
+        dealt = chosen.select("key", "n", members.alias("members")).repartition(partitions(sets.sparkSession), "key", "n")
+        held = stage.table(runs(dealt.select(F.explode("members").alias("shingle"), "key", "n")).select("shingle", "key", "n"), f"heavy-shared-{part}")
         spare = F.col("n") - F.ceil(0.75 * F.col("n")) + 1 - (F.ceil(F.col("n") / part) - F.col("kept"))
         kept = held.groupBy("key", "n").agg(F.count("*").alias("kept")).withColumn("spare", spare).where("spare > 0")
         kept = stage.table(kept.drop("kept"), f"heavy-kept-{part}")
