@@ -15,6 +15,8 @@ from __future__ import annotations
 
 import math
 import re
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -89,13 +91,17 @@ def scan(docs: DataFrame, templates=TEMPLATES, least: float = LEAST) -> DataFram
     low, high = bounds(min(sizes), least)[0], bounds(max(sizes), least)[1]
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     signals = sorted({word for _, _, grams in known for word in signal_words(grams, least)})
-    signal = f"(?i){'|'.join(signals)}"
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).where(F.col("text").rlike(signal))
-    lines = rows.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "unit")).select("doc_id", (F.col("line") + 1).alias("line"), "unit")
-    whole = rows.where(F.contains("text", F.lit("\n"))).select("doc_id", F.lit(0).alias("line"), F.col("text").alias("unit"))
-    units = lines.union(whole).where(F.col("unit").rlike(signal)).withColumn("words", F.split(_normal(F.col("unit")), " "))
-    units = units.where(F.size("words") > low).drop("unit").withColumn("grams", _bigrams(F.col("words"))).drop("words")
-    units = units.withColumn("n", F.size("grams")).where(F.col("n").between(low, high))
+    # A value that is exploded alone is worked out once; else it would be where it is named.
+    once = lambda value, name: F.explode(F.array(value)).alias(name)
+    holds = lambda value: reduce(or_, [F.contains(value, F.lit(word)) for word in signals])
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).select("*", once(F.lower("text"), "low"))
+    rows = rows.where(holds(F.col("low"))).drop("low")
+    unit = lambda line, value: F.struct(line.cast("int").alias("line"), value.alias("unit"))
+    lines = F.transform(F.split("text", "\n"), lambda value, place: unit(place + 1, value))
+    whole = F.when(F.contains("text", F.lit("\n")), F.array(unit(F.lit(0), F.col("text")))).otherwise(F.array().cast("array<struct<line:int,unit:string>>"))
+    units = rows.select("doc_id", F.inline(F.concat(lines, whole))).where(holds(F.lower("unit")))
+    units = units.select("doc_id", "line", once(F.split(_normal(F.col("unit")), " "), "words")).where(F.size("words") > low)
+    units = units.select("doc_id", "line", once(_bigrams(F.col("words")), "grams")).withColumn("n", F.size("grams")).where(F.col("n").between(low, high))
     # One comparison for each template within the size bounds.
     table = F.array(*[
         F.struct(F.lit(i).alias("template"), F.lit(name).alias("license"), F.lit(len(g)).alias("m"), F.array(*map(F.lit, g)).alias("grams"))
@@ -104,7 +110,7 @@ def scan(docs: DataFrame, templates=TEMPLATES, least: float = LEAST) -> DataFram
     fits = F.filter(table, lambda t: (t["m"] * (2 - least) >= F.col("n") * least - 1e-9) & (F.col("n") * (2 - least) >= t["m"] * least - 1e-9))
     common = lambda t: F.size(F.array_intersect(t["grams"], F.col("grams")))
     scores = F.transform(fits, lambda t: F.struct((2 * common(t) / (t["m"] + F.col("n"))).alias("dice"), (-t["template"]).alias("order"), t["license"].alias("license")))
-    best = units.withColumn("best", F.array_max(scores)).where(F.col("best.dice") >= least)
+    best = units.select("doc_id", "line", once(F.array_max(scores), "best")).where(F.col("best.dice") >= least)
     return best.select("doc_id", "line", F.col("best.license").alias("license"), (-F.col("best.order")).alias("template"), F.col("best.dice").alias("dice"))
 
 
