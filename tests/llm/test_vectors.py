@@ -63,3 +63,28 @@ def test_edges(spark):
     assert got[150] == [(1, 2.0)] + [(i, 1.0) for i in range(100, 119)]
     assert vectors.search(df.limit(0), df).count() == 0
     assert vectors.search(df, df.limit(0)).count() == 0
+
+
+def test_one_very_long_vector_leaves_no_query_without_rows(spark, monkeypatch):
+    x = np.random.default_rng(6).standard_normal((4000, 16))
+    x[17] *= 1000
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    monkeypatch.setattr(vectors, "SHARD", 250)
+    monkeypatch.setattr(vectors, "CANDIDATES", 600)
+    scored = vectors._scored
+    monkeypatch.setattr(vectors, "_scored", lambda size: _bounded(scored(size), 500))
+    got = by_query(vectors.search(df, df.where("vec_id % 20 = 0")))
+    want = brute(rows, rows[::20])
+    assert {q: len(found) for q, found in got.items()} == dict.fromkeys(want, 20)
+    assert recall(got, want) >= 0.9
+
+
+def _bounded(score, most):
+    """Fails where a task is given more than ``most`` points."""
+
+    def check(points, queries):
+        assert points.num_rows <= most, points.num_rows
+        return score(points, queries)
+
+    return check

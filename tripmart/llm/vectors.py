@@ -4,9 +4,10 @@ Each of ``TREES`` trees gives every vector a string of ``BITS`` random bits, eac
 A tree is the sorted array of its strings; a node is a prefix, its descendants a contiguous range. A query descends
 every tree to its longest match and then ascends all trees together, one bit at a time: at depth ``d`` its
 candidates are all vectors that share ``d`` bits with it in some tree. It stops at the greatest depth where
-the trees together hold ``CANDIDATES`` or more. All candidates there are scored in double precision. The number is
-high because vectors without clusters have distant neighbours: on 51,282 of 64 components, where trees overlap much,
-it takes half of them to find 0.95 of the true neighbours.
+the trees together hold enough. All candidates there are scored in double precision.
+
+Enough are ``CANDIDATES``. A query whose total reaches the number of points is compared with every point once, which is
+exact and less work; so are queries whose prefixes are empty.
 
 Inner products follow angles only on a sphere, so vectors get one more component that makes all norms equal
 (zero for queries); that keeps the order of inner products.
@@ -14,9 +15,11 @@ Inner products follow angles only on a sphere, so vectors get one more component
 - Equal vectors are one point with its members; as ties go to the smaller id, a point keeps the ``NEAREST + 1``
   smallest, which is exact, so very frequent vectors neither fill a tree nor a result.
 - Sorted arrays are split: a shard is a tree's strings with one common prefix of ``shard_bits``, chosen by the number
-  of points so that a shard holds about ``SHARD`` of them. Queries go to the shard of their own prefix, in every tree.
-  Depths below ``shard_bits`` aren't ascended to.
-- Queries meet a shard in a cogroup: per task one shard and the queries of its prefix, worked on in blocks.
+  of points so that a shard holds about ``SHARD`` of them. One that holds more (points of similar direction, or of
+  norms much below the longest) is dealt out to blocks by id, so that no task gets more than about ``SHARD`` points.
+- A query goes to all blocks of its own shard, and where it ascends above ``shard_bits`` to those of all shards with
+  its shorter prefix. At the root every tree holds the same, so there one tree is searched.
+- Queries meet a block in a cogroup: per task one block and the queries sent to it.
 
 Rows without an id, and vectors that are NULL, empty, zero, or hold NULL or non-finite components take no part; nor
 do those whose length differs from the most frequent one. Equal rows count once, and a query never gets its own id.
@@ -165,14 +168,45 @@ def search(vectors: DataFrame, queries: DataFrame, stage: Stage | None = None, n
         return rows.withColumn("shard", F.shiftright("hash", BITS - shard_bits) if shard_bits else F.lit(0).cast("long"))
 
     trees, probes = stage.table(forest(points, False), "trees"), stage.table(forest(asked, True), "probes")
-    slim = [F.col(c) for c in ("id", "hash", "tree", "shard")]
-    held = trees.select(slim).groupBy("tree", "shard").cogroup(probes.select(slim).groupBy("tree", "shard"))
+    # A row for each shard; crowded ones have several blocks.
+    shards = trees.groupBy("tree", "shard").agg(F.count("*").alias("n"))
+    shards = stage.table(shards.withColumn("blocks", F.ceil(F.col("n") / SHARD).cast("int")), "shards")
+    trees = trees.join(F.broadcast(shards.select("tree", "shard", "blocks")), ["tree", "shard"])
+    trees = trees.withColumn("block", F.expr("cast(pmod(id, blocks) as int)")).drop("blocks")
+    place = ["tree", "shard", "block"]
+
+    def sent(df: DataFrame) -> DataFrame:
+        """A row of ``df`` for each block of its shard."""
+        df = df.join(F.broadcast(shards.select("tree", "shard", "blocks")), ["tree", "shard"])
+        return df.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
+
+    slim = [F.col(c) for c in ("id", "hash", *place)]
+    held = trees.select(slim).groupBy(place).cogroup(sent(probes.drop("v")).select(slim).groupBy(place))
     held = held.applyInArrow(_held(shard_bits), "id long, held array<long>")
-    # Candidates of all trees together by depth; the last depth that has enough, or the shallowest.
-    depths = held.select("id", F.posexplode("held").alias("at", "n")).groupBy("id", "at").agg(F.sum("n").alias("n"))
-    depths = depths.groupBy("id").agg(F.max(F.when(F.col("n") >= CANDIDATES, F.col("at") + shard_bits)).alias("depth"))
-    probes = probes.join(depths.select("id", F.coalesce("depth", F.lit(shard_bits)).cast("long").alias("depth")), "id")
-    found = trees.groupBy("tree", "shard").cogroup(probes.groupBy("tree", "shard"))
+    held = held.select("id", F.posexplode("held").alias("at", "n")).select("id", (F.col("at") + shard_bits).alias("at"), "n")
+    if shard_bits:
+        # Above the shards counts are sums over shards.
+        above = lambda value: (
+            value.withColumn("at", F.explode(F.sequence(F.lit(0), F.lit(shard_bits - 1))))
+            .withColumn("node", F.expr(f"shiftright(shard, {shard_bits} - at)"))
+        )
+        nodes = above(shards).groupBy("tree", "at", "node").agg(F.sum("n").alias("n"))
+        held = held.unionByName(above(probes.drop("v")).join(F.broadcast(nodes), ["tree", "at", "node"]).select("id", "at", "n"))
+    # Candidates of all trees together by depth.
+    held = stage.table(held.groupBy("id", "at").agg(F.sum("n").alias("n")), "held")
+    # So many that they hold more distinct points than are asked for, whatever trees share.
+    stop = max(CANDIDATES, TREES * (NEAREST + 1))
+    depth = held.groupBy("id").agg(F.max(F.when(F.col("n") >= stop, F.struct("at", "n"))).alias("last"))
+    # Where as many are to be looked at as there are points, each is looked at once.
+    depth = depth.select("id", F.when(F.col("last.n") < count, F.col("last.at")).otherwise(0).cast("long").alias("depth"))
+    probes = probes.join(depth, "id").where((F.col("depth") > 0) | (F.col("tree") == 0))
+    if shard_bits:
+        wide = f"greatest({shard_bits} - depth, 0)"
+        probes = probes.withColumn("first", F.expr(f"shiftleft(shiftright(shard, cast({wide} as int)), cast({wide} as int))"))
+        probes = probes.withColumn("shard", F.explode(F.expr(f"sequence(first, first + shiftleft(1L, cast({wide} as int)) - 1)"))).drop("first")
+    probes = stage.table(sent(probes), "sent")
+    searched = [r.tree for r in probes.select("tree").distinct().collect()]  # numbers of trees
+    found = trees.where(F.col("tree").isin(searched)).groupBy(place).cogroup(probes.groupBy(place))
     found = found.applyInArrow(_scored(size), "query long, id long, score double")
     found = found.groupBy("query", "id").agg(F.max("score").alias("score"))
     named = found.join(points.select("id", "ids"), "id").join(asked.select(F.col("id").alias("query"), F.col("vec_id").alias("query_id")), "query")
