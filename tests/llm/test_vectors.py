@@ -65,6 +65,16 @@ def test_edges(spark):
     assert vectors.search(df, df.limit(0)).count() == 0
 
 
+def test_stop_is_fitted_where_candidates_are_few(spark, monkeypatch):
+    x = np.random.default_rng(5).standard_normal((6000, 24))
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    monkeypatch.setattr(vectors, "SHARD", 1000)
+    monkeypatch.setattr(vectors, "CANDIDATES", 600)
+    got = by_query(vectors.search(df, df.where("vec_id % 20 = 0")))
+    assert recall(got, brute(rows, rows[::20])) >= 0.9
+
+
 def test_one_very_long_vector_leaves_no_query_without_rows(spark, monkeypatch):
     x = np.random.default_rng(6).standard_normal((4000, 16))
     x[17] *= 1000

@@ -6,8 +6,10 @@ every tree to its longest match and then ascends all trees together, one bit at
 candidates are all vectors that share ``d`` bits with it in some tree. It stops at the greatest depth where
 the trees together hold enough. All candidates there are scored in double precision.
 
-Enough are ``CANDIDATES``. A query whose total reaches the number of points is compared with every point once, which is
-exact and less work; so are queries whose prefixes are empty.
+How many are enough is measured on each table: up to ``SAMPLE`` of the queries are compared with every point, and the
+total is the smallest at which the trees hold ``TARGET`` of their true neighbours, ``CANDIDATES`` at least. A query
+whose total reaches the number of points is compared with every point once, which is exact and less work: so it is for
+vectors without clusters, whose neighbours are hardly nearer than others, and for queries whose prefixes are empty.
 
 Inner products follow angles only on a sphere, so vectors get one more component that makes all norms equal
 (zero for queries); that keeps the order of inner products.
@@ -42,6 +44,9 @@ BITS = 62
 CANDIDATES = 32_000
 NEAREST = 20
 SHARD = 100_000
+#: Queries that the stop is fitted on, and the share of their neighbours that it is to reach: 0.9 and a margin for chance.
+SAMPLE = 200
+TARGET = 0.93
 #: Inner products that a task holds at a time.
 SCORES = 1 << 21
 SEED = 20
@@ -84,6 +89,50 @@ def _ranges(strings: np.ndarray, queries: np.ndarray, depths: np.ndarray) -> tup
     return np.searchsorted(strings, low, "left"), np.searchsorted(strings, low + (1 << (BITS - depths)), "left")
 
 
+def _nearest(size: int, asked: np.ndarray):
+    """The points of each task nearest to each vector of ``asked``, without points equal to it."""
+
+    def best(batches):
+        keep = [(np.zeros(0), np.zeros(0, np.int64), np.zeros((0, size))) for _ in asked]
+        for batch in batches:
+            for begin in range(0, batch.num_rows, 8192):
+                part = batch.slice(begin, 8192)
+                x, ids = _matrix(part.column("v"), size), np.asarray(part.column("id"))
+                every = asked @ x.T
+                for i, scores in enumerate(every):
+                    # One more, as the vector itself may be among them.
+                    near = np.argpartition(scores, -NEAREST - 1)[-NEAREST - 1 :] if len(scores) > NEAREST + 1 else np.arange(len(scores))
+                    near = near[(x[near] != asked[i]).any(axis=1)]
+                    score, own, v = (np.concatenate([a, b]) for a, b in zip(keep[i], (scores[near], ids[near], x[near])))
+                    first = np.argsort(-score, kind="stable")[:NEAREST]
+                    keep[i] = score[first], own[first], v[first]
+        for i, (score, own, v) in enumerate(keep):
+            offsets = pa.array(np.arange(len(own) + 1) * size, pa.int32())
+            columns = [pa.array(np.full(len(own), i)), pa.array(own), pa.array(score), pa.ListArray.from_arrays(offsets, pa.array(v.ravel()))]
+            yield pa.RecordBatch.from_arrays(columns, ["asked", "id", "score", "v"])
+
+    return best
+
+
+def _fitted(held: np.ndarray, reached: list[np.ndarray], count: int) -> int:
+    """The smallest total at which ``TARGET`` of the neighbours are candidates. ``held``: totals by depth for each query."""
+    total = lambda stop, row: max(np.flatnonzero(row >= stop), default=0)
+
+    def recall(stop: int) -> float:
+        found = []
+        for row, depths in zip(held, reached):
+            depth = total(stop, row)
+            found.append(1.0 if row[depth] >= count else float(np.mean(depths >= depth)))
+        return float(np.mean(found))
+
+    stops = np.unique(held)
+    low, high = 0, len(stops) - 1  # the last is that of the root, where everything is found
+    while low < high:
+        middle = (low + high) // 2
+        low, high = (low, middle) if recall(int(stops[middle])) >= TARGET else (middle + 1, high)
+    return int(stops[low])
+
+
 def _held(shard_bits: int):
     def count(points: pa.Table, queries: pa.Table) -> pa.Table:
         """For each query the number of candidates in this tree at depths from ``shard_bits`` to ``BITS``."""
@@ -134,6 +183,32 @@ def _scored(size: int):
     return score
 
 
+def _stop(points: DataFrame, asked: DataFrame, held: DataFrame, size: int, longest: float, count: int) -> int:
+    """How many candidates are enough, by comparing a bounded sample of queries with all points."""
+    # So many that they hold more distinct points than are asked for, whatever trees share.
+    least = max(CANDIDATES, TREES * (NEAREST + 1))
+    if least >= count:
+        return least
+    sample = asked.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).collect()
+    if not sample:
+        return least
+    x = np.array([r.v for r in sample], np.float64)
+    near = points.mapInArrow(_nearest(size, x), "asked long, id long, score double, v array<double>")
+    near = near.withColumn("place", F.row_number().over(Window.partitionBy("asked").orderBy(F.desc("score"), "id")))
+    near = near.where(F.col("place") <= NEAREST).select(F.col("asked").alias("id"), "v")
+    own = _hashes(np.column_stack([x, np.zeros(len(x))]), _planes(size + 1))
+    reached: list[list[int]] = [[] for _ in sample]
+    for row in near.mapInArrow(_hasher(size, longest, False), "id long, v array<double>, hashes array<long>").select("id", "hashes").collect():
+        apart = min(int(bits).bit_length() for bits in np.array(row.hashes, np.int64) ^ own[row.id])
+        reached[row.id].append(BITS - apart)
+    rows = {r.id: i for i, r in enumerate(sample)}
+    totals = np.zeros((len(sample), BITS + 1), np.int64)
+    for row in held.where(F.col("id").isin(list(rows))).collect():
+        totals[rows[row.id], row["at"]] = row.n
+    some = [i for i, depths in enumerate(reached) if depths]
+    return max(least, _fitted(totals[some], [np.array(reached[i]) for i in some], count)) if some else least
+
+
 def search(vectors: DataFrame, queries: DataFrame, stage: Stage | None = None, nearest: int = NEAREST) -> DataFrame:
     """The ``nearest`` candidates (at most ``NEAREST``) found among ``vectors`` for each of ``queries`` (``vec_id, embedding``)."""
     spark = vectors.sparkSession
@@ -194,8 +269,7 @@ def search(vectors: DataFrame, queries: DataFrame, stage: Stage | None = None, n
         held = held.unionByName(above(probes.drop("v")).join(F.broadcast(nodes), ["tree", "at", "node"]).select("id", "at", "n"))
     # Candidates of all trees together by depth.
     held = stage.table(held.groupBy("id", "at").agg(F.sum("n").alias("n")), "held")
-    # So many that they hold more distinct points than are asked for, whatever trees share.
-    stop = max(CANDIDATES, TREES * (NEAREST + 1))
+    stop = _stop(points.select("id", "v"), asked.select("id", "v"), held, size, longest, count)
     depth = held.groupBy("id").agg(F.max(F.when(F.col("n") >= stop, F.struct("at", "n"))).alias("last"))
     # Where as many are to be looked at as there are points, each is looked at once.
     depth = depth.select("id", F.when(F.col("last.n") < count, F.col("last.at")).otherwise(0).cast("long").alias("depth"))
