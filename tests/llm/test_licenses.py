@@ -57,3 +57,39 @@ def test_every_match_holds_a_signal_word():
         words = licenses.signal_words(own)
         held = sum(any(word in words for word in gram.split(" ")) for gram in own)
         assert len(own) - held < licenses.LEAST / (2 - licenses.LEAST) * len(own)
+
+
+def wrapped(text, width):
+    import textwrap
+
+    return "\n".join(f" * {line}" for line in textwrap.wrap(text, width))
+
+
+def test_wrapped_notices_and_notices_inside_lines(spark):
+    prose = " ".join(f"word{i} of the story{i % 7}" for i in range(400))
+    longer = [(name, text) for name, text in licenses.NOTICES if name != "MPL-2.0"]
+    texts = [f"{prose}\n{prose}\n{wrapped(text, 72)}\n{prose}" for _, text in longer]
+    texts.append("Copyright 2024 the authors of this page. Released under the MIT License. More follows here.")
+    changed = licenses.NOTICES[3][1].replace("copyright holder", "owner").replace("3. Neither", "3. Further, neither")
+    texts += [f"{prose}\n{wrapped(changed, 60)}", f"{wrapped(longer[0][1], 60)}\n{prose}\n{wrapped(longer[0][1], 80)}", prose]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {}
+    for r in licenses.scan(df).collect():
+        if r.template >= len(licenses.TEMPLATES):
+            got.setdefault(r.doc_id, []).append((r.line, r.license, round(r.dice, 6)))
+        elif r.doc_id == len(longer):
+            assert (r.line, r.license, r.dice) == (1, "MIT", 1.0)
+            got[r.doc_id] = None
+    for i, (name, _) in enumerate(longer):
+        assert got[i] == [(3, name, 1.0)]
+    n = len(longer)
+    assert got[n] is None and [x[:2] for x in got[n + 1]] == [(2, "BSD-3-Clause")]
+    assert [x[1:] for x in got[n + 2]] == [("MIT", 1.0)] * 2 and n + 3 not in got
+
+
+def test_every_match_holds_a_word_of_each_group():
+    for _, text in licenses.TEMPLATES + licenses.NOTICES:
+        own = licenses._bigrams_of(text)
+        for words in licenses.signal_groups(own):
+            held = sum(any(word in words for word in gram.split(" ")) for gram in own)
+            assert len(own) - held < licenses.LEAST / (2 - licenses.LEAST) * len(own)

@@ -7,6 +7,12 @@ bigrams, if that is ``LEAST`` or more. As the common bigrams can't be more than
 with ``unit * LEAST / (2 - LEAST) <= template <= unit * (2 - LEAST) / LEAST`` bigrams are compared, and units outside
 these bounds for all templates with none. That holds for units of any length, so long texts cost one look.
 
+Notices wrapped over lines or inside longer lines are found as passages: windows of consecutive words, sized by each
+template within the same bounds, against the templates and the longer ``NOTICES`` (numbered on from the templates). The
+best windows that don't overlap are reported with the line they begin in; of overlapping ones of different templates
+that with more common bigrams. A passage is left out where a line it touches, or the whole text, is reported
+for a template that is as long or longer. Full texts of thousands of words (GPL, Apache and so on) aren't among the notices.
+
 NULL texts count as empty. Units of fewer than two words have no bigrams and match nothing. Ties go to the
 template that comes first. Rows with equal ids are separate rows.
 """
@@ -16,7 +22,7 @@ from __future__ import annotations
 import math
 import re
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -47,6 +53,29 @@ TEMPLATES = (
     ("CC0-1.0", "This work is dedicated to the public domain under CC0 1.0."),
 )
 
+_MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. """
+_MIT_REST = """THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+_BSD = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. """
+_BSD_THIRD = """3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission. """
+_BSD_REST = """THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+_GNU = """This {what} is free software{or_} you can redistribute it and/or modify it under the terms of the GNU {kind}General Public License as published by the Free Software Foundation, either version {version} of the License, or (at your option) any later version. This {what} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {kind}General Public License for more details."""
+
+#: Longer standard notices, looked for as passages only.
+NOTICES = (
+    ("MIT", _MIT + _MIT_REST),
+    ("MIT", _MIT),
+    ("BSD-2-Clause", _BSD + _BSD_REST),
+    ("BSD-3-Clause", _BSD + _BSD_THIRD + _BSD_REST),
+    ("ISC", """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."""),
+    ("Apache-2.0", """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."""),
+    ("GPL-3.0", _GNU.format(what="program", or_=":", kind="", version="3")),
+    ("GPL-2.0", _GNU.format(what="program", or_=";", kind="", version="2")),
+    ("LGPL-3.0", _GNU.format(what="library", or_=":", kind="Lesser ", version="3")),
+    ("LGPL-2.1", _GNU.format(what="library", or_=";", kind="Lesser ", version="2.1")),
+    ("AGPL-3.0", _GNU.format(what="program", or_=":", kind="Affero ", version="3")),
+    ("MPL-2.0", """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."""),
+)
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -84,8 +113,102 @@ def signal_words(grams: list[str], least: float = LEAST) -> list[str]:
     return chosen
 
 
-def scan(docs: DataFrame, templates=TEMPLATES, least: float = LEAST) -> DataFrame:
-    """``doc_id, line, license, template, dice`` for every unit that matches; line 0 is the whole text."""
+def signal_groups(grams: list[str], least: float = LEAST) -> list[list[str]]:
+    """Groups of words; any match of a template must hold a word of each. Only the first group may hold ``FREQUENT`` ones."""
+    pairs = [gram.split(" ") for gram in grams]
+    lacking = len(pairs) - math.ceil(len(pairs) * least / (2 - least) - 1e-9)
+    groups, group = [signal_words(grams, least)], []
+    for word in sorted({word for pair in pairs for word in pair} - {*FREQUENT, *groups[0]}, key=lambda word: (-len(word), word)):
+        group.append(word)
+        if sum(any(word in group for word in pair) for pair in pairs) > lacking:
+            groups.append(group)
+            group = []
+    return groups
+
+
+def _passages(docs: DataFrame, templates, notices, least: float) -> DataFrame:
+    """Windows of consecutive words that match, without those that a line or the whole text is reported for."""
+    known = []
+    for i, (name, text) in enumerate((*templates, *notices)):
+        size = len(re.findall(r"[a-z0-9]+", text.lower())) - 1
+        known.append((i, name, _bigrams_of(text), bounds(size, least)[1]))
+    once = lambda value, name: F.explode(F.array(value)).alias(name)
+    let = lambda value, use: F.element_at(F.transform(F.array(value), use), 1)
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).select("*", once(F.lower("text"), "low"))
+    any_of = lambda words: reduce(or_, [F.contains("low", F.lit(word)) for word in words])
+    rows = rows.where(reduce(or_, [reduce(and_, map(any_of, signal_groups(grams, least))) for _, _, grams, _ in known])).drop("low")
+    by_line = F.transform(F.split("text", "\n"), lambda line: F.filter(F.split(_normal(line), " "), lambda word: word != ""))
+    rows = rows.select("doc_id", once(by_line, "lines")).select("*", once(F.flatten("lines"), "words")).where(F.size("words") > 1)
+
+    def bigrams(words: Column) -> Column:
+        count = F.greatest(F.size(words) - 1, F.lit(0))
+        return F.zip_with(F.slice(words, F.lit(1), count), F.slice(words, F.lit(2), count), lambda a, b: F.concat(a, F.lit(" "), b))
+
+    table = F.array(*[
+        F.struct(
+            F.lit(i).alias("template"), F.lit(name).alias("license"), F.lit(len(g)).alias("m"), F.split(F.lit("|".join(g)), r"\|").alias("set"),
+            F.lit(math.ceil(len(g) * least / (2 - least) - 1e-9)).alias("need"), F.lit(most).alias("most"),
+        )
+        for i, name, g, most in known
+    ])
+    # Few texts hold enough of a template anywhere.
+    rows = rows.select("*", once(bigrams(F.col("words")), "grams")).select("*", once(F.array_distinct("grams"), "own"))
+    enough = F.filter(table, lambda t: F.size(F.array_intersect(t["set"], F.col("own"))) >= t["need"])
+    rows = rows.select("doc_id", "lines", "words", "grams", once(enough, "near")).where(F.size("near") > 0)
+
+    def measured(own: Column, t: Column) -> Column:
+        """The common bigrams and the coefficient."""
+        common = F.size(F.array_intersect(t["set"], own))
+        return F.struct(common.alias("common"), (2 * common / (t["m"] + F.size(F.array_distinct(own)))).alias("dice"))
+
+    def window(t: Column, at: Column, k: Column) -> Column:
+        """The best window from the k-th hit on; it ends with a hit, has ``need`` hits, and isn't above the bounds."""
+        first = F.element_at(at, k)
+        ends = F.slice(at, k + t["need"] - 1, F.greatest(F.size(at) - k - t["need"] + 2, F.lit(0)))
+        ends = F.filter(ends, lambda end: end - first < t["most"])
+
+        def entry(end: Column) -> Column:
+            value = measured(F.slice("grams", first, end - first + 1), t)
+            return let(value, lambda v: F.struct(
+                (-v["dice"]).alias("less"), first.alias("first"), end.alias("end"), v["common"].alias("common"), t["template"].alias("template"),
+                t["license"].alias("license"), t["m"].alias("m"),
+            ))
+
+        return F.array_min(F.transform(ends, entry))
+
+    def apart(found: Column) -> Column:
+        """Without those that overlap an earlier one."""
+        meets = lambda x: lambda y: (x["first"] <= y["end"] + 1) & (y["first"] <= x["end"] + 1)
+        none = F.slice(found, F.lit(1), F.lit(0))
+        return F.aggregate(found, none, lambda done, x: F.when(F.exists(done, meets(x)), done).otherwise(F.concat(done, F.array(x))))
+
+    def windows(t: Column) -> Column:
+        hits = F.filter(F.sequence(F.lit(1), F.size("grams")), lambda p: F.array_contains(t["set"], F.element_at("grams", p)))
+        every = let(hits, lambda at: F.transform(F.sequence(F.lit(1), F.size(at)), lambda k: window(t, at, k)))
+        return let(F.array_sort(F.filter(every, lambda x: x["less"] <= -least)), apart)
+
+    found = rows.select("doc_id", "lines", "words", once(F.flatten(F.transform("near", windows)), "found")).where(F.size("found") > 0)
+    by_size = F.array_sort(F.transform("found", lambda x: F.struct((-x["common"]).alias("fewer"), *[x[c].alias(c) for c in ("less", "template", "first", "end", "license", "m")])))
+    found = found.select("doc_id", "lines", "words", once(by_size, "found")).select("doc_id", "lines", "words", F.explode(apart(F.col("found"))).alias("x"))
+    line_of = F.flatten(F.transform("lines", lambda words, i: F.array_repeat(i + 1, F.size(words))))
+    found = found.select("*", once(line_of, "line_of"))
+    found = found.withColumn("line", F.element_at("line_of", F.col("x.first"))).withColumn("until", F.element_at("line_of", F.col("x.end") + 1))
+    plain = F.filter(table, lambda t: t["template"] < len(templates))
+
+    def reported(words: Column) -> Column:
+        own = bigrams(words)
+        best = F.array_max(F.transform(plain, lambda t: F.struct(measured(own, t)["dice"].alias("dice"), (-t["template"]).alias("order"), t["m"].alias("m"))))
+        return let(best, lambda b: (b["dice"] >= least) & (b["m"] >= F.col("x.m")))
+
+    units = F.concat(F.slice("lines", F.col("line"), F.col("until") - F.col("line") + 1), F.array("words"))
+    found = found.where(~F.exists(units, reported))
+    return found.select("doc_id", F.col("line").cast("int").alias("line"), F.col("x.license").alias("license"), F.col("x.template").alias("template"), (-F.col("x.less")).alias("dice"))
+
+
+def scan(docs: DataFrame, templates=TEMPLATES, least: float = LEAST, notices=NOTICES) -> DataFrame:
+    """``doc_id, line, license, template, dice`` for every unit and passage that matches; line 0 is the whole text."""
+    passages = _passages(docs, templates, notices, least)
     known = [(i, name, _bigrams_of(text)) for i, (name, text) in enumerate(templates)]
     sizes = [len(grams) for _, _, grams in known]
     low, high = bounds(min(sizes), least)[0], bounds(max(sizes), least)[1]
@@ -111,7 +234,8 @@ def scan(docs: DataFrame, templates=TEMPLATES, least: float = LEAST) -> DataFram
     common = lambda t: F.size(F.array_intersect(t["grams"], F.col("grams")))
     scores = F.transform(fits, lambda t: F.struct((2 * common(t) / (t["m"] + F.col("n"))).alias("dice"), (-t["template"]).alias("order"), t["license"].alias("license")))
     best = units.select("doc_id", "line", once(F.array_max(scores), "best")).where(F.col("best.dice") >= least)
-    return best.select("doc_id", "line", F.col("best.license").alias("license"), (-F.col("best.order")).alias("template"), F.col("best.dice").alias("dice"))
+    best = best.select("doc_id", "line", F.col("best.license").alias("license"), (-F.col("best.order")).alias("template"), F.col("best.dice").alias("dice"))
+    return best.unionByName(passages)
 
 
 def _sql() -> str:
