@@ -69,6 +69,27 @@ def chunks(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
         begin = end
 
 
+def strings(texts: pa.Array) -> list[str]:
+    """The texts, NULL as empty; bytes that aren't UTF-8 become U+FFFD."""
+    texts = texts.fill_null("")
+    try:
+        return texts.to_pylist()
+    except UnicodeDecodeError:
+        return [text.decode("utf-8", "replace") for text in texts.cast(pa.large_binary()).to_pylist()]
+
+
+def slices(text: str, size: int) -> Iterator[str]:
+    """A text in parts of at least ``size`` code points, cut only before a space that follows no white space."""
+    begin, at = 0, size
+    while (at := text.find(" ", at)) >= 0:
+        if text[at - 1].isspace():
+            at += 1
+        else:
+            yield text[begin:at]
+            begin, at = at, at + size
+    yield text[begin:]
+
+
 def spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Where words begin and end, and the first word of each text (with the number of words last)."""
     solid = ~_SPACE[data]
