@@ -28,5 +28,5 @@ def test_same_rows_as_sql(spark, con, name):
 
 def test_one_query_for_each_operator():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert {*QUERIES, "pipeline"} < set(__spark_entry__.queries())

@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm import chat, decontaminate, jaccard_join, licenses, mixing, quality, secrets, vectors, warc, wordpiece
+from tripmart.llm import (
+    byte_bpe,
+    chat,
+    decontaminate,
+    fim,
+    jaccard_join,
+    licenses,
+    mixing,
+    quality,
+    secrets,
+    spelling,
+    vectors,
+    warc,
+    wordpiece,
+)
 from tripmart.llm.staging import Stage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -87,3 +101,21 @@ def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    tokenizer = byte_bpe.Tokenizer(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return tokenizer.digests(tokenizer.encode(table(spark, sf_dir, "documents")))
+
+
+@query(fim.SQL)
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digests(fim.transform(table(spark, sf_dir, "documents")))
+
+
+@query()
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group(spelling.observed(table(spark, sf_dir, "documents")))
