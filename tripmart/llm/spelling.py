@@ -57,6 +57,9 @@ PART = 1 << 20
 #: Counts that a task holds before it passes them on.
 HELD = 1 << 18
 
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = np.uint64(pow(_BASE, -1, 2**64))
+
 
 def _counted(names: list[str], counts: Iterator[Counter]) -> Iterator[pa.RecordBatch]:
     """Batches of summed counts, passed on whenever there are many."""
@@ -152,18 +155,27 @@ def listed(word: str, frequent: dict[str, int]) -> list[tuple[int, int]]:
     return sorted(grams, key=lambda g: (frequent.get(word[g[0] : g[1]], 0), word[g[0] : g[1]], g[0]))[: bound + 1]
 
 
-def shortened(rest: str) -> np.ndarray:
-    """Hashes of a text and of all that is left when one code point is deleted."""
-    points = np.frombuffer(rest.encode("utf-32-le"), "<u4").astype(np.uint64)
-    base = 0x9E3779B97F4A7C15
-    powers = np.full(len(points) + 1, base, np.uint64)
+def shortened(rests: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of texts and of all that is left of each when one code point is deleted, and of which text each is."""
+    sizes = np.array([len(rest) for rest in rests], np.int64)
+    points = np.frombuffer("".join(rests).encode("utf-32-le"), "<u4")
+    ends = np.cumsum(sizes)
+    begins = ends - sizes
+    owner = np.repeat(np.arange(len(rests)), sizes)
+    powers = np.full(int(sizes.max(initial=0)) + 1, _BASE, np.uint64)
     powers[0] = 1
     powers = np.multiply.accumulate(powers)
-    sums = np.concatenate([[np.uint64(0)], np.cumsum(mixed(points + np.uint64(1)) * powers[:-1], dtype=np.uint64)])
-    inverse = np.uint64(pow(base, -1, 2**64))
+    values = mixed(points.astype(np.uint64) + np.uint64(1)) * powers[np.arange(len(points)) - begins[owner]]
+    sums = np.concatenate([[np.uint64(0)], np.cumsum(values, dtype=np.uint64)])
+    # Deleting any one of equal neighbours leaves the same.
+    first = np.ones(len(points), bool)
+    first[1:] = (points[1:] != points[:-1]) | (owner[1:] != owner[:-1])
+    at = np.flatnonzero(first)
+    own = owner[at]
     # What follows the deleted code point moves one place to the left.
-    parts = sums[:-1] + (sums[-1] - sums[1:]) * inverse
-    return np.unique(np.concatenate([[sums[-1]], parts])).view(np.int64)
+    parts = sums[at] - sums[begins[own]] + (sums[ends[own]] - sums[at + 1]) * _INVERSE
+    whole = sums[ends] - sums[begins]
+    return np.concatenate([whole, parts]).view(np.int64), np.concatenate([np.arange(len(rests)), own])
 
 
 LISTED = "side boolean, shared string, rest string, n long"
@@ -179,50 +191,58 @@ def lists(words: DataFrame, frequent: dict[str, int]) -> DataFrame:
                 part = batch.slice(begin, 1000)
                 rows = []
                 for word, n in zip(part.column("word").to_pylist(), part.column("n").to_pylist()):
+                    grams = listed(word, shared.value)
                     if len(word) < GRAM_LEAST + GRAM_MOST:
                         rows.append((True, "", word, n))
-                    for at, end in listed(word, shared.value):
-                        rows += [(True, word[:end], word[end:], n), (False, word[at:], word[:at], n)]
+                    rows += [(True, word[:end], word[end:], n) for end in {end for _, end in grams}]
+                    rows += [(False, word[at:], word[:at], n) for at, _ in grams]
                 columns = list(zip(*rows)) if rows else [()] * 4
                 kinds = (pa.bool_(), pa.string(), pa.string(), pa.int64())
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["side", "shared", "rest", "n"])
 
-    return words.select("word", "n").mapInArrow(listing, LISTED).distinct()
+    return words.select("word", "n").mapInArrow(listing, LISTED)
 
 
 def _divided(members: DataFrame) -> DataFrame:
-    """Members of long lists, once for each shortened rest."""
+    """``key, side, shared, rest, n``: members of lists (with the ``size`` of the list), those of long ones once for each shortened rest."""
 
     def divide(batches):
         for batch in batches:
             for begin in range(0, batch.num_rows, 1000):
                 part = batch.slice(begin, 1000)
-                parts = [shortened(rest) for rest in part.column("rest").to_pylist()]
-                rows = part.take(pa.array(np.repeat(np.arange(len(parts)), [len(p) for p in parts])))
-                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(np.concatenate(parts))], [*rows.schema.names, "division"])
+                key = part.column("key").to_numpy()
+                long = np.flatnonzero(part.column("size").to_numpy() > LONG)
+                parts, owner = shortened(part.column("rest").take(pa.array(long)).to_pylist())
+                short = np.setdiff1d(np.arange(part.num_rows), long)
+                rows = part.select(["side", "shared", "rest", "n"]).take(pa.array(np.concatenate([short, long[owner]])))
+                divisions = mixed(parts.view(np.uint64) ^ mixed(key[long[owner]].view(np.uint64))).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([key[short], divisions])), *rows.columns], ["key", *rows.schema.names])
 
-    return members.mapInArrow(divide, LISTED + ", division long")
+    return members.mapInArrow(divide, "key long, " + LISTED)
 
 
 def near_pairs(words: DataFrame, stage: Stage) -> DataFrame:
     """``word, n, near, near_n``: all ordered pairs of ``words`` (``word, n``) that differ by one code point."""
-    members = stage.table(lists(words, frequent_grams(words)), "lists")
-    key = ["side", "shared"]
-    crowded = stage.table(members.groupBy(key).agg(F.count("*").alias("size")).where(F.col("size") > LONG).select(key), "crowded")
-    plain = members.join(crowded, key, "left_anti").withColumn("division", F.lit(0).cast("long"))
-    members = stage.table(plain.unionByName(_divided(members.join(crowded, key, "left_semi"))), "divided")
+    members = lists(words, frequent_grams(words)).withColumn("key", F.xxhash64("side", "shared"))
+    members = stage.table(members, "lists")
+    # A word alone in its list is near to none there.
+    sizes = members.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+    members = stage.table(_divided(members.join(sizes.hint("shuffle_hash"), "key")), "divided")
     a, b = members.alias("a"), members.alias("b")
-    same = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in (*key, "division")]
-
-    def whole(side: str) -> Column:
-        return F.when(F.col("a.side"), F.concat("a.shared", f"{side}.rest")).otherwise(F.concat(f"{side}.rest", "a.shared"))
-
     apart = (F.abs(F.char_length("a.rest") - F.char_length("b.rest")) <= 1) & (F.levenshtein("a.rest", "b.rest", 1) == 1)
-    pairs = a.join(b, [*same, apart, whole("a") < whole("b")]).select(
-        whole("a").alias("word"), F.col("a.n").alias("n"), whole("b").alias("near"), F.col("b.n").alias("near_n")
+    found = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.rest") < F.col("b.rest")) & apart)
+
+    def whole(x: str) -> Column:
+        return F.when(F.col(f"{x}.side"), F.concat(f"{x}.shared", f"{x}.rest")).otherwise(F.concat(f"{x}.rest", f"{x}.shared"))
+
+    # Keys are hashes, so what is found is compared as whole words. The lesser word comes first, whichever list a pair is from.
+    ends = [F.struct(whole(x).alias("word"), F.col(f"{x}.n").alias("n")) for x in "ab"]
+    pairs = found.select(F.least(*ends).alias("a"), F.greatest(*ends).alias("b")).distinct()
+    pairs = pairs.where(F.levenshtein("a.word", "b.word", 1) == 1)
+    both = F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
+    return pairs.select(F.explode(both).alias("p")).select(
+        F.col("p.a.word").alias("word"), F.col("p.a.n").alias("n"), F.col("p.b.word").alias("near"), F.col("p.b.n").alias("near_n")
     )
-    pairs = pairs.distinct()
-    return pairs.union(pairs.select("near", "near_n", "word", "n"))
 
 
 def _roots(forms: DataFrame, most: int, stage: Stage) -> DataFrame:
