@@ -89,3 +89,31 @@ def test_class_weights(spark):
     assert 2 * weights.rush_weight == pytest.approx(6 * weights.other_weight)
     single = classifier.class_weights(panel.where("is_rush_area = 0")).first()
     assert (single.rush_weight, single.other_weight) == (1.0, 0.5)
+
+
+def test_certificate_tells_the_optimum(panel):
+    model = classifier.fit_rush_model(panel)
+    found = {row.term: row for row in classifier.certificate(model, panel).collect()}
+    assert max(abs(row.gradient) for row in found.values()) < 1e-4
+    train = classifier.train_rows(panel)
+    assert found["intercept"].rows == found["lag_24"].rows == train.count()
+    assert found["day_of_week=Friday"].rows == train.where("day_of_week = 'Friday'").count()
+    assert found["is_weekend"].rush_rows == train.where("is_weekend = 1 and is_rush_area = 1").count()
+    early = classifier._fit(panel, classifier.LAG_FEATURES, maxIter=1, regParam=0.01)
+    assert max(abs(row.gradient) for row in classifier.certificate(early, panel).collect()) > 1e-3
+    lighter = classifier._fit(panel, classifier.LAG_FEATURES, maxIter=100, regParam=0.05)
+    lighter.stages[-1].set(lighter.stages[-1].regParam, 0.01)
+    assert max(abs(row.gradient) for row in classifier.certificate(lighter, panel).collect()) > 1e-3
+
+
+def test_certificate_of_the_calendar_model(panel):
+    model = classifier.fit_calendar_model(panel)
+    found = classifier.certificate(model, panel, classifier.CALENDAR_FEATURES).collect()
+    assert max(abs(row.gradient) for row in found) < 1e-4
+    assert {"is_weekend", "month_of_year=1", "hour_of_day=0"} <= {row.term for row in found}
+
+
+def test_certificate_with_one_class(panel):
+    quiet = panel.withColumn("is_rush_area", F.lit(0))
+    found = classifier.certificate(classifier.fit_rush_model(quiet), quiet).collect()
+    assert {row.rush_rows for row in found} == {0}

@@ -19,13 +19,11 @@ def test_same_rows_as_sql(spark, con, name):
     assert difference(spark, con, name, SF) is None
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
-def test_model_queries_give_rows(spark, name):
-    df = QUERIES[name](spark, "/root/testdata/sf0.01")
-    assert not df.isEmpty()
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_entry(spark):
     result = __spark_entry__.entry(spark)
     assert result.count() == 10
-    assert set(__spark_entry__.oracle_sql()) < set(__spark_entry__.queries())
+    assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())

@@ -1,13 +1,16 @@
 """Checks of the demand panel, the classifier and the evaluation.
 
-The evaluation is checked on a score computed from the lags, so that SQL can follow it; the model's
-own scores have no SQL.
+The evaluation is checked on a score computed from the lags, so that SQL can follow it. A fitted model is checked by
+what SQL can list (terms, rows, classes) together with whether it is the optimum, whether its scores follow from its
+coefficients, and whether other formulas give its metrics.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tripmart.checks.adapters import DEMAND_SQL, SILVER_SQL, demand_trips, raw_trips
 from tripmart.checks.registry import check, half_up, time_text
@@ -368,30 +371,90 @@ def feature_scale_assemble_check(spark, sf_dir):
     return features.select(HOUR, "area_id", *lags)
 
 
-def _coefficients(spark, model) -> DataFrame:
-    regression = model.stages[-1]
-    rows = [("intercept", float(regression.intercept))]
-    rows += [(f"feature_{at:03d}", float(value)) for at, value in enumerate(regression.coefficients)]
-    return spark.createDataFrame(rows, "term string, value double")
+#: All gradients of a fitted model are below this.
+OPTIMAL = 1e-4
+
+
+def terms_sql(options: PanelOptions, features: classifier.FeatureSet) -> str:
+    """The terms of a model, with the train rows and rush rows that have each."""
+
+    def group(name: str) -> str:
+        return f"select concat('{name}=', cast({name} as varchar)), count(*), count(*) filter (is_rush_area = 1) from train group by {name}"
+
+    def unknown(name: str) -> str:
+        return f"select '{name}=__unknown', 0, 0"
+
+    def codes(name: str) -> str:
+        # The codes of a number run from 0 to the largest; those without rows are terms all the same.
+        return f"""select concat('{name}=', cast(i as varchar)), count(train.{name}), count(train.{name}) filter (is_rush_area = 1)
+          from (select unnest(generate_series(0, (select max({name}) from train))) as i) left join train on train.{name} = i group by i"""
 
+    def number(name: str) -> str:
+        return f"select '{name}', count(*), count(*) filter (is_rush_area = 1) from train"
 
-@check("rush_fit")
+    def plain(name: str) -> str:
+        return f"select '{name}', count(*) filter ({name} <> 0), count(*) filter ({name} <> 0 and is_rush_area = 1) from train"
+
+    parts = ["select 'intercept' as term, count(*) as rows, count(*) filter (is_rush_area = 1) as rush_rows from train"]
+    parts += [part(name) for name in features.text for part in (group, unknown)]
+    parts += map(codes, features.codes)
+    parts += [*map(plain, features.plain), *map(number, features.numbers)]
+    return f"""with {panel_sql(options)}, train as (select * from panel where split = 'train'),
+      terms as ({" union all ".join(parts)}) select *, true as optimal from terms"""
+
+
+def _certified(model, panel: DataFrame, features: classifier.FeatureSet) -> DataFrame:
+    found = classifier.certificate(model, panel, features)
+    return found.select("term", "rows", "rush_rows", (F.abs("gradient") < OPTIMAL).alias("optimal"))
+
+
+@check("rush_fit", terms_sql(TRAIN_TOP, classifier.LAG_FEATURES))
 def rush_fit_check(spark, sf_dir):
-    """Intercept and coefficients of the fitted model."""
-    return _coefficients(spark, classifier.fit_rush_model(rush_panel(spark, sf_dir).data))
+    """The terms of the fitted model, and that it is the optimum in each: gradients worked out from panel and coefficients."""
+    data = rush_panel(spark, sf_dir).data
+    return _certified(classifier.fit_rush_model(data), data, classifier.LAG_FEATURES)
 
 
-@check("rush_fit_calendar")
+@check("rush_fit_calendar", terms_sql(ALL_TOP, classifier.CALENDAR_FEATURES))
 def rush_fit_calendar_check(spark, sf_dir):
     """As ``rush_fit`` for the feature set with months, over the whole-period panel."""
-    return _coefficients(spark, classifier.fit_calendar_model(rush_panel(spark, sf_dir, ALL_TOP).data))
+    data = rush_panel(spark, sf_dir, ALL_TOP).data
+    return _certified(classifier.fit_calendar_model(data), data, classifier.CALENDAR_FEATURES)
+
+
+def with_plain_score(model, panel: DataFrame) -> DataFrame:
+    """The scored panel, with ``plain_prob``: the probability by hand, from the terms' coefficients and the columns of the panel."""
+    scored = classifier.score(model, panel)
+    terms = {row.term: row.coefficient for row in classifier.certificate(model, panel).collect()}
+    lags = classifier.LAG_COLUMNS
+    spread = [f(lag).alias(f"{lag}_{f.__name__}") for lag in lags for f in (F.avg, F.stddev_samp)]
+    numbers = classifier.train_rows(panel).agg(*spread).first()
+    value = F.lit(terms["intercept"]) + F.col("is_weekend") * terms["is_weekend"]
+    for name in ("area_id", "day_of_week", "hour_of_day"):
+        known = F.create_map(*[F.lit(x) for term, c in terms.items() if term.startswith(f"{name}=") for x in (term, c)])
+        value += F.coalesce(F.try_element_at(known, F.concat(F.lit(f"{name}="), F.col(name).cast("string"))), F.lit(0.0))
+    for lag in lags:
+        value += (F.col(lag) - numbers[f"{lag}_avg"]) / numbers[f"{lag}_stddev_samp"] * terms[lag]
+    return scored.withColumn("plain_prob", 1 / (1 + F.exp(-value)))
+
+
+def _agrees() -> dict:
+    return {
+        "as_by_hand": F.abs(F.col("y_prob") - F.col("plain_prob")) < 1e-9,
+        "decided": (F.col("y_prob") > 0.5).cast("int") == F.col("y_pred"),
+    }
 
 
-@check("rush_score")
+@check(
+    "rush_score",
+    f"""with {PANEL_SQL} select area_id, {time_text('timestamp_hour')} as timestamp_hour, split, is_rush_area,
+      true as as_by_hand, true as decided from panel""",
+)
 def rush_score_check(spark, sf_dir):
+    """Every row of the panel, and whether its score is the logistic function of its terms, and its decision that of its score."""
     data = rush_panel(spark, sf_dir).data
-    scored = classifier.score(classifier.fit_rush_model(data), data)
-    return scored.select("area_id", HOUR, "split", "is_rush_area", "y_prob", "y_pred")
+    scored = with_plain_score(classifier.fit_rush_model(data), data)
+    return scored.withColumns(_agrees()).select("area_id", HOUR, "split", "is_rush_area", "as_by_hand", "decided")
 
 
 PRF_SQL = """select split,
@@ -471,13 +534,40 @@ def eval_metrics_table_check(spark, sf_dir):
     return evaluation.metrics_table(with_rule_score(panel.data), stage)
 
 
-@check("eval_model_metrics")
+#: The metrics by other formulas: ROC-AUC from the ranks of the rush rows, average precision from running counts.
+PLAIN_METRICS = """
+with ranked as (
+  select split, is_rush_area as y, y_pred, rank() over (partition by split order by y_prob) as low,
+    count(*) over (partition by split, y_prob) as ties,
+    count(*) over (partition by split order by y_prob desc) as at_least,
+    sum(is_rush_area) over (partition by split order by y_prob desc) as rush_at_least from {scored}
+), sums as (
+  select split, count(*) as rows, sum(y) as rush_rows, sum(y * y_pred) as tp, sum(y_pred) as predicted,
+    sum(case when y = 1 then low + (ties - 1) / 2.0D end) as ranks, sum(y * rush_at_least / at_least) as precisions
+  from ranked group by split
+)
+select initcap(split) as split, rows, rush_rows, round(tp / predicted, 4) as precision, round(tp / rush_rows, 4) as recall,
+  round(2 * tp / (predicted + rush_rows), 4) as f1,
+  round((ranks - rush_rows * (rush_rows + 1) / 2.0D) / (rush_rows * (rows - rush_rows)), 4) as roc_auc,
+  round(precisions / rush_rows, 4) as pr_auc from sums
+"""
+
+
+@check(
+    "eval_model_metrics",
+    f"""with {PANEL_SQL} select case split when 'train' then 'Train' else 'Test' end as split, count(*) as rows,
+      count(*) filter (is_rush_area = 1) as rush_rows, true as agree from panel group by split""",
+)
 def eval_model_metrics_check(spark, sf_dir):
-    """The metrics table of the fitted model."""
+    """The metrics table of the fitted model, and whether other formulas give the same to three decimals."""
     stage = Stage(spark)
     data = panels.build_rush_panel(demand_trips(spark, sf_dir), TRAIN_TOP, stage).data
     scored = stage.table(classifier.score(classifier.fit_rush_model(data), data), "scored")
-    return evaluation.metrics_table(scored, stage)
+    plain = spark.sql(PLAIN_METRICS, scored=scored)
+    names = ("precision", "recall", "f1", "roc_auc", "pr_auc")
+    same = [F.abs(F.coalesce(F.col(f"p.{name}"), F.lit(0.0)) - F.col(f"m.{name}")) < 1e-3 for name in names]
+    table = evaluation.metrics_table(scored, stage).alias("m").join(plain.alias("p"), "split", "right")
+    return table.select("split", "p.rows", "p.rush_rows", F.coalesce(reduce(Column.__and__, same), F.lit(False)).alias("agree"))
 
 
 TEST_HOURS_SQL = "select timestamp_hour as h from panel where split = 'test' group by timestamp_hour"
@@ -535,10 +625,16 @@ def rush_map_layer_check(spark, sf_dir):
     return _rounded(layer, "lat", "lng", "map_lat", "map_lng")
 
 
-@check("top_rush_model")
+@check(
+    "top_rush_model",
+    f"""with {HOUR_SQL} select area_id, demand_count, rush_threshold, is_rush_area, round(lat, 6) as lat, round(lng, 6) as lng,
+      true as as_by_hand, true as decided from at_hour""",
+)
 def top_rush_model_check(spark, sf_dir):
-    """The areas the fitted model holds most likely in rush at the snapshot hour."""
+    """The areas the fitted model holds most likely in rush at the snapshot hour: all of them, as there are fewer than 15."""
     built = rush_panel(spark, sf_dir)
-    scored = classifier.score(classifier.fit_rush_model(built.data), built.data)
+    scored = with_plain_score(classifier.fit_rush_model(built.data), built.data)
     hour = evaluation.snapshot_hour(built.data).scalar()
-    return evaluation.top_rush_at_hour(scored, hour, built.centroids)
+    plain = scored.where(F.col(HOUR) == hour).select("area_id", "plain_prob")
+    top = evaluation.top_rush_at_hour(scored, hour, built.centroids).join(plain, "area_id", "left").withColumns(_agrees())
+    return _rounded(top.drop("y_prob", "y_pred", "plain_prob"), "lat", "lng")
