@@ -1,4 +1,6 @@
 import gzip
+import io
+import uuid
 import zipfile
 
 import pytest
@@ -6,8 +8,9 @@ import pytest
 from tests.conftest import DEMO_TRIPS, TEXT_COLUMNS
 from tripmart.operators.bronze import to_bronze
 from tripmart.session import Stage
-from tripmart.sources.raw_csv import file_layouts, read_raw_csv
-from tripmart.sources.zip_csv import header_columns, read_zip_csv
+from tripmart.sources import raw_csv
+from tripmart.sources.raw_csv import file_layouts, header_columns, header_index, read_raw_csv
+from tripmart.sources.zip_csv import read_zip_csv
 
 
 def as_dicts(df):
@@ -35,13 +38,76 @@ EXPECTED = [
 
 
 def test_columns_follow_headers_not_positions(spark, landing):
-    assert {header: len(files) for header, files in file_layouts(spark, landing).items()} == {
-        ("ride_id", "name"): 3,
-        ("name", "ride_id", "extra"): 1,
-    }
+    index = header_index(spark, landing)
+    assert file_layouts(index) == ["name,ride_id,extra", "ride_id,name"]
+    assert {row.source_file.rsplit("/", 1)[-1] for row in index.where("header = 'ride_id,name'").collect()} == {"a.csv", "c.csv", "d.csv.gz"}
     assert as_dicts(read_raw_csv(spark, landing)) == EXPECTED
 
 
+def job_count(spark, action):
+    """How many Spark jobs an action runs."""
+    context, group = spark.sparkContext, uuid.uuid4().hex
+    context.setJobGroup(group, "")
+    try:
+        result = action()
+        return len(context.statusTracker().getJobIdsForGroup(group)), result
+    finally:
+        context._jsc.clearJobGroup()
+
+
+def test_jobs_do_not_grow_with_files(spark, tmp_path):
+    def land(folder, count):
+        folder.mkdir()
+        for at in range(count):
+            names = ["ride_id,name", "name,ride_id"][at % 2]
+            (folder / f"{at}.csv").write_text(f"{names}\n{at},{at}\n\n{at},{at}\n")
+        return str(folder)
+
+    few, many = land(tmp_path / "few", 4), land(tmp_path / "many", 200)
+    jobs, rows = job_count(spark, lambda: read_raw_csv(spark, many))
+    assert jobs == job_count(spark, lambda: read_raw_csv(spark, few))[0]
+    assert tuple(rows.selectExpr("count(*)", "sum(int(ride_id))", "sum(int(name))").first()) == (400, 39_800, 39_800)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan csv") == 1 and "BroadcastHashJoin" in plan
+
+
+def test_only_first_blocks_are_read_for_headers(spark, tmp_path):
+    class Counted(io.BytesIO):
+        def read(self, size):
+            assert size == raw_csv.HEADER_BYTES and self.tell() < 4 * size
+            return super().read(size)
+
+    long = b"\n \n\xef\xbb\xbfride_id,name\r\n" + b"1,x\n" * 100_000
+    assert raw_csv._first_line(Counted(long)) == "\ufeffride_id,name"
+    assert raw_csv._first_line(Counted(b"x" * 40_000)) == "x" * 40_000
+    (tmp_path / "a b%20.csv").write_bytes(long)
+    (tmp_path / "empty.csv").write_text("")
+    (tmp_path / "c.csv").write_text("ride_id,name")
+    for index in (header_index, raw_csv.scanned_index):
+        assert {row.header for row in index(spark, str(tmp_path)).collect()} - {""} == {"\ufeffride_id,name", "ride_id,name"}
+    assert read_raw_csv(spark, str(tmp_path)).count() == 100_000
+
+
+def test_store_that_only_spark_reads(spark, landing, monkeypatch):
+    def closed(uri):
+        raise OSError(uri)
+
+    monkeypatch.setattr(raw_csv, "_open", closed)
+    assert None in file_layouts(header_index(spark, landing))
+    assert as_dicts(read_raw_csv(spark, landing)) == EXPECTED
+
+
+def test_index_of_very_many_files_is_not_broadcast(spark, landing, monkeypatch):
+    monkeypatch.setattr(raw_csv, "BROADCAST_FILES", 1)
+    rows = read_raw_csv(spark, landing)
+    assert as_dicts(rows) == EXPECTED
+
+
+def test_empty_landing_zone(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("")
+    assert read_raw_csv(spark, str(tmp_path), with_source=True).columns == ["source_file"]
+
+
 def test_blank_and_repeated_headers(spark, tmp_path):
     (tmp_path / "a.csv").write_text("ride_id,,Ride_ID\n1,x,2\n")
     rows = read_raw_csv(spark, str(tmp_path))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import csv
 import hashlib
 import io
 import sys
@@ -15,7 +14,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tripmart.session import Stage
-from tripmart.sources.raw_csv import SOURCE_FILE, text_schema
+from tripmart.sources.raw_csv import SOURCE_FILE, header_columns, text_schema
 
 # Functions that run in tasks are sent along with the job: executors need not have this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -78,15 +77,6 @@ def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield from _archive_lines(path.as_py(), content.as_buffer())
 
 
-def header_columns(header: str) -> list[str]:
-    """Column names of a header line; blank and repeated names get their position appended."""
-    names: list[str] = []
-    for position, name in enumerate(next(csv.reader([header]))):
-        name = name or "_c"
-        names.append(f"{name}{position}" if name == "_c" or name in names else name)
-    return names
-
-
 def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
