@@ -4,11 +4,12 @@ import uuid
 import zipfile
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import DEMO_TRIPS, TEXT_COLUMNS
 from tripmart.operators.bronze import to_bronze
 from tripmart.session import Stage
-from tripmart.sources import raw_csv
+from tripmart.sources import raw_csv, zip_csv
 from tripmart.sources.raw_csv import file_layouts, header_columns, header_index, read_raw_csv
 from tripmart.sources.zip_csv import read_zip_csv
 
@@ -155,6 +156,55 @@ def test_zip_longer_than_one_batch(spark, tmp_path):
     assert tuple(total) == (45_000, sum(range(45_000)), 7)
 
 
+def test_a_task_for_each_member(spark, tmp_path):
+    for archive_at in range(3):
+        with zipfile.ZipFile(tmp_path / f"{archive_at}.zip", "w", zipfile.ZIP_DEFLATED) as archive:
+            for at in range(4):
+                archive.writestr(f"{at}.csv", f"ride_id,name\n{archive_at}{at},x\n")
+    lines = zip_csv.member_lines(spark, str(tmp_path))
+    assert lines.rdd.getNumPartitions() == 12
+    assert [row[0] for row in lines.where("line IS NOT NULL").groupBy(F.spark_partition_id()).count().select("count").collect()] == [1] * 12
+    rows = read_zip_csv(spark, str(tmp_path), Stage(spark))
+    assert sorted(row.ride_id for row in rows.collect()) == sorted(f"{a}{b}" for a in range(3) for b in range(4))
+
+
+def test_only_the_range_of_a_member_is_read(tmp_path, monkeypatch):
+    path = tmp_path / "large.zip"
+    with zipfile.ZipFile(path, "w") as archive:
+        archive.writestr("before.csv", b"a,b\n" * 5_000_000)
+        archive.writestr("small.csv", "ride_id\n1\n")
+        archive.writestr("after.csv", b"a,b\n" * 5_000_000)
+    asked = []
+
+    class Counted(io.FileIO):
+        def readinto(self, buffer):
+            asked.append(super().readinto(buffer))
+            return asked[-1]
+
+    class Local:
+        def open_input_file(self, path):
+            return Counted(path)
+
+    monkeypatch.setattr(zip_csv, "file_system", lambda uri: (Local(), uri))
+    partition = zip_csv.InputPartition((str(path), "small.csv"))
+    batches = list(zip_csv.MemberReader([str(path)]).read(partition))
+    assert [batch.column("line").to_pylist() for batch in batches] == [[None], ["1"]]
+    assert sum(asked) < 5 * zip_csv.RANGE_BYTES < path.stat().st_size / 4
+
+
+def test_zip_in_a_store_that_only_spark_reads(spark, tmp_path, monkeypatch):
+    with zipfile.ZipFile(tmp_path / "one.zip", "w") as archive:
+        archive.writestr("x.csv", "ride_id,name\n1,a\n")
+    monkeypatch.setattr(zip_csv, "reachable", lambda uri: False)
+    assert read_zip_csv(spark, str(tmp_path), Stage(spark)).collect() == [("1", "a")]
+
+
+def test_no_archives(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "hidden.zip", "w") as archive:
+        archive.writestr("_x.csv", "ride_id,name\n1,a\n")
+    assert read_zip_csv(spark, str(tmp_path), Stage(spark), with_source=True).columns == ["source_file"]
+
+
 def test_zip_without_csv_fails(spark, tmp_path):
     with zipfile.ZipFile(tmp_path / "none.zip", "w") as archive:
         archive.writestr("readme.txt", "junk")

@@ -38,14 +38,18 @@ def header_columns(header: str) -> list[str]:
     return names
 
 
-def _open(uri: str):
-    """The file at a URI as a stream, unpacked if its name says gzip; nothing of it is read yet."""
+def file_system(uri: str):
+    """The file system of a URI and the path in it, for use inside tasks."""
     from pyarrow import fs
 
     if uri.startswith("file:"):
-        system, path = fs.LocalFileSystem(), "/" + uri.removeprefix("file:").lstrip("/")
-    else:
-        system, path = fs.FileSystem.from_uri(uri)
+        return fs.LocalFileSystem(), "/" + uri.removeprefix("file:").lstrip("/")
+    return fs.FileSystem.from_uri(uri)
+
+
+def _open(uri: str):
+    """The file at a URI as a stream, unpacked if its name says gzip; nothing of it is read yet."""
+    system, path = file_system(uri)
     return system.open_input_stream(path, compression="gzip" if uri.endswith(".gz") else None, buffer_size=HEADER_BYTES)
 
 
