@@ -67,7 +67,7 @@ def test_registration(lakehouse, finished, spark):
 def test_second_run_replaces_tables_and_their_schema(lakehouse, finished, text_trips):
     lakehouse.write(text_trips({"ride_id": "new", "Gender": "x"}), "bronze")
     assert lakehouse.read("bronze").columns[-1] == "Gender"
-    rows, quality = write_silver(lakehouse, rebalance=True)
+    rows, quality, found = write_silver(lakehouse, rebalance=True)
     assert rows == 1 and quality.first().distinct_ride_ids == 1
     assert build_gold(lakehouse)["gold_daily_rides"] == 1
     assert lakehouse.read("gold_daily_rides").count() == 1
@@ -91,6 +91,35 @@ def test_run_stops_when_no_trip_is_valid(lakehouse, text_trips):
         write_silver(lakehouse)
 
 
+def test_silver_is_written_in_one_pass_over_bronze(spark, lakehouse, text_trips, monkeypatch):
+    trips = text_trips(
+        {"ride_id": "a"},
+        {"ride_id": "a"},
+        {"ride_id": "b", "started_at": "garbage"},
+        {"ride_id": None, "ended_at": "2023-01-01 00:00:00"},
+        {"ride_id": "c", "ended_at": "2023-01-01 00:00:00"},
+    )
+    lakehouse.write(trips, "bronze")
+    seen, read = spark.sparkContext.accumulator(0), Lakehouse.read
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    def counted(self, table):
+        df = read(self, table)
+        return df.mapInArrow(count, df.schema) if table == "bronze" else df
+
+    monkeypatch.setattr(Lakehouse, "read", counted)
+    rows, quality, found = write_silver(lakehouse)
+    assert seen.value == 5
+    assert rows == 2 and tuple(quality.first()) == (2, 1, 0, 0, 0, 0)
+    assert quality.columns == quality_summary(cast_types(trips)).columns
+    assert found == {"rows": 5, "null_ride_id": 1, "null_started_at": 1, "null_ended_at": 0, "non_positive_time_rows": 2}
+    assert quality.schema == quality_summary(lakehouse.read("silver")).schema or quality.dtypes == quality_summary(lakehouse.read("silver")).dtypes
+
+
 def test_validation_names_the_fault(lakehouse, finished, spark, demo_trips):
     lakehouse.write(demo_trips.select("ride_id", "started_at"), "bronze")
     with pytest.raises(AssertionError, match="bronze: missing columns: ended_at"):
@@ -139,7 +168,7 @@ def test_failed_write_leaves_the_old_table(spark, lakehouse, finished):
     with pytest.raises(Exception, match="broken"):
         lakehouse.write(bad, "gold_daily_rides")
     with pytest.raises(ValueError, match="gold_daily_rides is empty"):
-        lakehouse.write(lakehouse.read("gold_daily_rides").where("false"), "gold_daily_rides", allow_empty=False)
+        lakehouse.write(lakehouse.read("gold_daily_rides").where("false"), "gold_daily_rides", needed_for="gold_daily_rides")
     assert lakehouse.read("gold_daily_rides").count() == 4
     # A table can be made from itself.
     assert lakehouse.write(lakehouse.read("gold_daily_rides").limit(3), "gold_daily_rides") == 3

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, functions as F
 
 EARTH_RADIUS_KM = 6371.0088
@@ -14,10 +16,11 @@ def haversine_km(start_lat: str, start_lng: str, end_lat: str, end_lng: str) ->
     sin_phi = F.sin((phi_b - phi_a) / 2)
     sin_lambda = F.sin((F.radians(end_lng) - F.radians(start_lng)) / 2)
     chord = sin_phi * sin_phi + F.cos(phi_a) * F.cos(phi_b) * sin_lambda * sin_lambda
-    # Rounding can push the chord of antipodes above 1, where asin is NaN and would spoil averages. NaN compares as
-    # the greatest number, so it is kept out of the cap.
-    capped = F.when((chord > 1) & ~F.isnan(chord), 1.0).otherwise(chord)
-    return 2 * EARTH_RADIUS_KM * F.asin(F.sqrt(capped))
+    # Rounding can push the chord of antipodes above 1, where asin is NaN and would spoil averages. The cap names the chord
+    # once, so its sines are worked out once a row; NaN is the greatest number, also below zero, and stays NaN.
+    capped = -F.greatest(-chord, F.lit(-1.0))
+    known = reduce(Column.__and__, [F.col(c).isNotNull() for c in (start_lat, start_lng, end_lat, end_lng)])
+    return F.when(known, 2 * EARTH_RADIUS_KM * F.asin(F.sqrt(capped)))
 
 
 def grid_edge(coordinate: str) -> Column:

@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from tripmart.operators.quality import require_non_empty
 from tripmart.session import Stage
 from tripmart.sources.raw_csv import SOURCE_FILE, read_raw_csv
 from tripmart.sources.tables import Lakehouse
@@ -39,5 +38,4 @@ def ingest_bronze(
         raw = read_zip_csv(spark, input_path, stage or Stage(spark), with_source=True)
     else:
         raw = read_raw_csv(spark, input_path, columns, with_source=True)
-    require_non_empty(raw, "raw trip input")
-    return lakehouse.write(to_bronze(raw), "bronze")
+    return lakehouse.write(to_bronze(raw), "bronze", needed_for="raw trip input")

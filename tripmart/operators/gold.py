@@ -232,7 +232,7 @@ def build_gold(lakehouse: Lakehouse, stage: Stage | None = None) -> dict[str, in
         if mart.partition_by:
             # A day is one row and so one file; dealt out in turn, the files are written by all slots.
             table = table.repartition(lakehouse.spark.sparkContext.defaultParallelism)
-        return lakehouse.write(table, name, mart.partition_by, allow_empty=False)
+        return lakehouse.write(table, name, mart.partition_by, needed_for=name)
 
     with ThreadPoolExecutor(len(MARTS)) as pool:
         return dict(zip(MARTS, pool.map(store, MARTS)))

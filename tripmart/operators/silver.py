@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from typing import NamedTuple
+
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from tripmart.functions import trips
 from tripmart.functions.geo import haversine_km
 from tripmart.functions.naming import TRIP_COLUMNS, merge_spellings
-from tripmart.operators.quality import quality_summary, require_non_empty
+from tripmart.operators.quality import observed_summary, rule_counts
 from tripmart.sources.tables import Lakehouse
 
 # What the input must have, what may be missing, and the order of the result.
@@ -79,34 +81,47 @@ def silver_projection(df: DataFrame) -> DataFrame:
     return df.select(*[column for column in SILVER_COLUMNS if column in df.columns])
 
 
+def typed_trips(df: DataFrame) -> DataFrame:
+    """Raw or Bronze rows, named and typed; none is left out."""
+    for step in (merge_spellings, require_columns, fill_optional_columns, cast_types, normalize_values):
+        df = df.transform(step)
+    return df
+
+
+def valid_trips(typed: DataFrame) -> DataFrame:
+    """Typed rows to Silver."""
+    for step in (keep_valid_trips, add_duration, add_calendar, add_distance):
+        typed = typed.transform(step)
+    return silver_projection(typed.withColumn("data_layer", F.lit("silver")))
+
+
 def transform_to_silver(df: DataFrame) -> DataFrame:
     """Raw or Bronze rows to Silver: projections and filters only, so no shuffle at any size."""
-    steps = (
-        merge_spellings,
-        require_columns,
-        fill_optional_columns,
-        cast_types,
-        normalize_values,
-        keep_valid_trips,
-        add_duration,
-        add_calendar,
-        add_distance,
-    )
-    for step in steps:
-        df = df.transform(step)
-    return silver_projection(df.withColumn("data_layer", F.lit("silver")))
+    return df.transform(typed_trips).transform(valid_trips)
+
+
+class SilverRun(NamedTuple):
+    """``rows`` stored, their quality summary, and ``found``: what the Bronze rows were like before cleaning."""
+
+    rows: int
+    quality: DataFrame
+    found: dict[str, int]
+
 
+def write_silver(lakehouse: Lakehouse, rebalance: bool = False) -> SilverRun:
+    """Bronze table to Silver table, by month, in one pass over Bronze.
 
-def write_silver(lakehouse: Lakehouse, rebalance: bool = False) -> tuple[int, DataFrame]:
-    """Bronze table to Silver table, by month; returns the rows stored and their quality summary.
+    The write itself gathers the rule counts of all Bronze rows and of those kept; only the exact distinct count of ids
+    takes a pass of its own, over that column of the stored table, when the summary is asked for.
 
     Landed files hold a month each, so every task writes to one or two months and no shuffle is
     needed. ``rebalance`` evens out file sizes when the input mixes months: rows are shuffled by
     month, and adaptive execution splits the big months over as many tasks as their size asks for.
     """
-    silver = transform_to_silver(lakehouse.read("bronze"))
-    require_non_empty(silver, "Silver trip table")
+    found, kept = Observation(), Observation()
+    typed = typed_trips(lakehouse.read("bronze")).observe(found, *rule_counts())
+    silver = valid_trips(typed).observe(kept, *rule_counts())
     if rebalance:
         silver = silver.hint("rebalance", "month")
-    rows = lakehouse.write(silver, "silver", partition_by=("month",))
-    return rows, quality_summary(lakehouse.read("silver"))
+    rows = lakehouse.write(silver, "silver", partition_by=("month",), needed_for="Silver trip table")
+    return SilverRun(rows, observed_summary(lakehouse.read("silver"), kept.get), found.get)

@@ -17,8 +17,11 @@ from tripmart.sources.tables import Lakehouse
 
 @dataclass(frozen=True)
 class RunResult:
+    """Rows stored by table, the quality of Silver, and what the Bronze rows were like before cleaning."""
+
     rows: dict[str, int]
     quality: DataFrame
+    found: dict[str, int]
     preview: dict[str, DataFrame]
 
 
@@ -38,7 +41,7 @@ def run_lakehouse(
         with Stage(lakehouse.spark) as own:
             return run_lakehouse(lakehouse, input_path, zipped, columns, own)
     bronze_rows = ingest_bronze(lakehouse, input_path, zipped, columns, stage)
-    silver_rows, quality = write_silver(lakehouse)
+    silver = write_silver(lakehouse)
     gold_rows = build_gold(lakehouse, stage)
-    rows = {"bronze": bronze_rows, "silver": silver_rows, **gold_rows}
-    return RunResult(rows, quality, preview_gold(lakehouse))
+    rows = {"bronze": bronze_rows, "silver": silver.rows, **gold_rows}
+    return RunResult(rows, silver.quality, silver.found, preview_gold(lakehouse))

@@ -43,13 +43,13 @@ class Lakehouse:
         return self.spark.read.format(self.fmt).load(self.path(table))
 
     def write(
-        self, df: DataFrame, table: str, partition_by: Sequence[str] = (), allow_empty: bool = True
+        self, df: DataFrame, table: str, partition_by: Sequence[str] = (), needed_for: str | None = None
     ) -> int:
         """Replace a table, its schema included, and return the rows stored.
 
         Plain files are written to a folder beside the table, which takes its place when it is complete: a
         run that fails leaves the table as it was. The count is read from the file footers of what was
-        written; nothing is computed again. Without ``allow_empty`` no rows are an error.
+        written; nothing is computed again. With ``needed_for`` no rows are an error that names it, and the table stays as it was.
         """
         path = self.path(table)
         fresh = path if self.fmt != "parquet" else f"{path}-{uuid.uuid4().hex}"
@@ -58,10 +58,10 @@ class Lakehouse:
             writer = writer.partitionBy(*partition_by)
         writer.save(fresh)
         rows = self.spark.read.format(self.fmt).load(fresh).count()
-        if not rows and not allow_empty:
+        if not rows and needed_for:
             if fresh != path:
                 remove_folder(self.spark, fresh)
-            raise ValueError(f"{table} is empty. Check input paths and data filters.")
+            raise ValueError(f"{needed_for} is empty. Check input paths and data filters.")
         if fresh != path:
             self._switch(fresh, path)
         return rows
