@@ -120,6 +120,73 @@ def test_silver_is_written_in_one_pass_over_bronze(spark, lakehouse, text_trips,
     assert quality.schema == quality_summary(lakehouse.read("silver")).schema or quality.dtypes == quality_summary(lakehouse.read("silver")).dtypes
 
 
+def test_readers_see_the_old_or_the_new_table(spark, lakehouse, text_trips):
+    lakehouse.write(text_trips({"ride_id": "old"}), "bronze")
+    before, place = lakehouse.read("bronze"), lakehouse.path("bronze")
+
+    class Watched(Lakehouse):
+        def _switch(self, table, current):
+            # The new version is complete and not in use yet.
+            assert [row.ride_id for row in self.read(table).collect()] == ["old"]
+            super()._switch(table, current)
+
+    Watched(spark, lakehouse.root).write(text_trips({"ride_id": "new", "Gender": "x"}), "bronze")
+    assert [row.ride_id for row in before.collect()] == ["old"] and lakehouse.path("bronze") != place
+    assert [(row.ride_id, row.Gender) for row in lakehouse.read("bronze").collect()] == [("new", "x")]
+    for _ in range(3):
+        lakehouse.write(text_trips({"ride_id": "newer"}), "bronze")
+    assert len(list(Path(lakehouse.folder("bronze")).glob("v-*"))) == 2
+
+
+def test_tables_are_read_without_looking_into_files(spark, lakehouse, demo_trips):
+    lakehouse.write(transform_to_silver(demo_trips), "silver", ("month",))
+    group = uuid.uuid4().hex
+    spark.sparkContext.setJobGroup(group, "")
+    columns = lakehouse.read("silver").where("month = '2023-05'").columns
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+    spark.sparkContext._jsc.clearJobGroup()
+    assert columns[-1] == "month" and sorted(columns) == sorted(transform_to_silver(demo_trips).columns)
+
+
+def test_only_the_months_that_landed_again_are_replaced(spark, lakehouse, text_trips):
+    def month(name, *ids):
+        times = {"started_at": f"2023-{name}-02 08:00:00", "ended_at": f"2023-{name}-02 08:10:00"}
+        return [times | {"ride_id": i} for i in ids]
+
+    def files(name):
+        return {(f.name, f.stat().st_mtime_ns) for f in Path(lakehouse.path("silver"), f"month=2023-{name}").glob("*.parquet")}
+
+    lakehouse.write(text_trips(*month("01", "a", "b"), *month("02", "c")), "bronze")
+    assert write_silver(lakehouse, only_landed_months=True).rows == 3
+    january, february = files("01"), files("02")
+    lakehouse.write(text_trips(*month("02", "c", "d"), *month("03", "e")), "bronze")
+    run = write_silver(lakehouse, only_landed_months=True)
+    assert run.rows == 5 and run.found["rows"] == 3
+    assert files("01") == january and files("02") != february
+    found = {tuple(row) for row in lakehouse.read("silver").select("month", "ride_id").collect()}
+    lakehouse.write(text_trips(*month("01", "a", "b"), *month("02", "c", "d"), *month("03", "e")), "bronze")
+    write_silver(lakehouse)
+    assert found == {tuple(row) for row in lakehouse.read("silver").select("month", "ride_id").collect()}
+    with pytest.raises(ValueError, match="another schema"):
+        lakehouse.replace_partitions(lakehouse.read("silver").drop("ride_id"), "silver", ("month",))
+
+
+def test_stale_registrations_are_replaced(lakehouse, finished, spark):
+    schema = f"trips_{uuid.uuid4().hex}"
+    lakehouse.register(schema)
+    lakehouse.write(lakehouse.read("gold_bike_type_usage").withColumn("share", F.lit(0.5)), "gold_bike_type_usage")
+    assert lakehouse.register(schema) == [f"{schema}.gold_bike_type_usage"]
+    assert {row.share for row in spark.sql(f"SELECT share FROM {schema}.gold_bike_type_usage").collect()} == {0.5}
+    assert lakehouse.register(schema) == []
+
+
+def test_tables_of_plain_files_are_still_read(lakehouse, demo_trips):
+    demo_trips.write.parquet(lakehouse.folder("bronze"))
+    assert lakehouse.read("bronze").count() == 4
+    lakehouse.write(lakehouse.read("bronze").limit(2), "bronze")
+    assert lakehouse.read("bronze").count() == 2
+
+
 def test_validation_names_the_fault(lakehouse, finished, spark, demo_trips):
     lakehouse.write(demo_trips.select("ride_id", "started_at"), "bronze")
     with pytest.raises(AssertionError, match="bronze: missing columns: ended_at"):

@@ -108,7 +108,7 @@ class SilverRun(NamedTuple):
     found: dict[str, int]
 
 
-def write_silver(lakehouse: Lakehouse, rebalance: bool = False) -> SilverRun:
+def write_silver(lakehouse: Lakehouse, rebalance: bool = False, only_landed_months: bool = False) -> SilverRun:
     """Bronze table to Silver table, by month, in one pass over Bronze.
 
     The write itself gathers the rule counts of all Bronze rows and of those kept; only the exact distinct count of ids
@@ -117,11 +117,14 @@ def write_silver(lakehouse: Lakehouse, rebalance: bool = False) -> SilverRun:
     Landed files hold a month each, so every task writes to one or two months and no shuffle is
     needed. ``rebalance`` evens out file sizes when the input mixes months: rows are shuffled by
     month, and adaptive execution splits the big months over as many tasks as their size asks for.
+    ``only_landed_months`` replaces the months that Bronze has rows of and leaves the others as they are; the
+    summary's rule counts are then those of the rows written.
     """
     found, kept = Observation(), Observation()
     typed = typed_trips(lakehouse.read("bronze")).observe(found, *rule_counts())
     silver = valid_trips(typed).observe(kept, *rule_counts())
     if rebalance:
         silver = silver.hint("rebalance", "month")
-    rows = lakehouse.write(silver, "silver", partition_by=("month",), needed_for="Silver trip table")
+    store = lakehouse.replace_partitions if only_landed_months else lakehouse.write
+    rows = store(silver, "silver", partition_by=("month",), needed_for="Silver trip table")
     return SilverRun(rows, observed_summary(lakehouse.read("silver"), kept.get), found.get)

@@ -31,17 +31,20 @@ def run_lakehouse(
     zipped: bool = False,
     columns: Sequence[str] | None = None,
     stage: Stage | None = None,
+    only_landed_months: bool = False,
 ) -> RunResult:
     """Build every table below the root from the files at ``input_path``.
 
+    With ``only_landed_months`` the months that landed again are replaced in Silver and the others stay.
+
     Layers pass data on only through stored tables; each step can be run again by itself.
     """
     if stage is None:
         # Intermediate tables of the run's own are gone when it ends.
         with Stage(lakehouse.spark) as own:
-            return run_lakehouse(lakehouse, input_path, zipped, columns, own)
+            return run_lakehouse(lakehouse, input_path, zipped, columns, own, only_landed_months)
     bronze_rows = ingest_bronze(lakehouse, input_path, zipped, columns, stage)
-    silver = write_silver(lakehouse)
+    silver = write_silver(lakehouse, only_landed_months=only_landed_months)
     gold_rows = build_gold(lakehouse, stage)
     rows = {"bronze": bronze_rows, "silver": silver.rows, **gold_rows}
     return RunResult(rows, silver.quality, silver.found, preview_gold(lakehouse))
