@@ -106,6 +106,18 @@ def test_certificate_tells_the_optimum(panel):
     assert max(abs(row.gradient) for row in classifier.certificate(lighter, panel).collect()) > 1e-3
 
 
+def test_scores_after_an_observed_query(spark, panel):
+    from pyspark.sql import Observation
+
+    seen = Observation()
+    panel.observe(seen, F.count("*").alias("rows")).write.format("noop").mode("overwrite").save()
+    assert seen.get["rows"] == panel.count()
+    model = classifier.fit_rush_model(panel)
+    assert not model.stages[-1].hasSummary
+    assert classifier.score(model, panel).where("y_prob IS NULL").isEmpty()
+    assert classifier.certificate(model, panel).where("abs(gradient) > 1e-4").isEmpty()
+
+
 def test_certificate_of_the_calendar_model(panel):
     model = classifier.fit_calendar_model(panel)
     found = classifier.certificate(model, panel, classifier.CALENDAR_FEATURES).collect()

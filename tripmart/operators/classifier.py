@@ -89,7 +89,11 @@ def _fit(panel: DataFrame, features: FeatureSet, **settings) -> PipelineModel:
         featuresCol="features", labelCol=LABEL, weightCol="weight", **settings
     )
     stages = [*feature_pipeline(features).getStages(), regression]
-    return Pipeline(stages=stages).fit(weighted_train_rows(panel))
+    model = Pipeline(stages=stages).fit(weighted_train_rows(panel))
+    # The training summary holds the session and would be sent along with every task that scores; a session that has
+    # observed a query can't be sent at all.
+    model.stages[-1]._java_obj.setSummary(panel.sparkSession._jvm.scala.Option.empty())
+    return model
 
 
 def fit_rush_model(panel: DataFrame) -> PipelineModel:
