@@ -19,9 +19,21 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: that with the smallest id. Rows without an id or words all stay."""
-    groups = jaccard_join.join(docs).where("doc_id <> component_id").select(F.col("doc_id").alias("copy")).distinct()
-    return docs.join(groups, docs["doc_id"] == groups["copy"], "left_anti")
+    """One row of each group of near copies: the one with the smallest id. Rows without words all stay.
+
+    Rows are told apart by a key of their own, so of equal rows under one id one stays, and a text stays that
+    shares its id with another document's copy. Rows without an id come last in their group.
+    """
+    key = "row_key"
+    while key in docs.columns:
+        key += "_"
+    keyed = Stage(spark).table(docs.withColumn(key, F.monotonically_increasing_id()), "keyed")
+    groups = jaccard_join.join(keyed.select(F.col(key).alias("doc_id"), "text")).where("doc_id <> component_id")
+    members = groups.select(F.explode(F.array("doc_id", "component_id")).alias(key), "component_id").distinct()
+    members = members.join(keyed.select(key, "doc_id"), key)
+    first = members.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", key))[key].alias(key))
+    copies = members.join(first, key, "left_anti").select(key)
+    return keyed.join(copies, key, "left_anti").select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
