@@ -34,3 +34,13 @@ def test_stages_on_whole_tables(spark, tmp_path):
 def test_run_gives_the_last_stage(spark):
     got = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     assert got.columns == ["doc_id", "size", "source_size", "target", "taken"] and got.count() > 0
+
+
+def test_one_row_of_each_group_stays_where_ids_repeat(spark):
+    w, v, u = (" ".join(f"{c}{i}" for i in range(40)) for c in "wvu")
+    rows = [(1, w, 0), (1, w, 1), (2, v, 2), (3, w, 3), (3, v, 4), (3, u, 5), (None, u, 6), (None, "", 7), (None, None, 8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, row_key int")
+    kept = corpus_pipeline.drop_near_copies(spark, docs, "")
+    assert kept.columns == docs.columns
+    found = sorted(((r.doc_id, r.text) for r in kept.collect()), key=str)
+    assert found == sorted([(1, w), (2, v), (3, u), (None, ""), (None, None)], key=str)
