@@ -4,7 +4,7 @@ panel with a rush-hour classifier."""
 from tripmart.functions.geo import haversine_km
 from tripmart.functions.naming import canonical_name, normalize_columns
 from tripmart.operators.bronze import ingest_bronze
-from tripmart.operators.classifier import fit_calendar_model, fit_rush_model, score
+from tripmart.operators.classifier import certificate, fit_calendar_model, fit_rush_model, score
 from tripmart.operators.evaluation import (
     confusion_matrix,
     metrics_table,
@@ -36,6 +36,7 @@ from tripmart.sources.tables import Lakehouse, export_parquet, read_trip_starts
 from tripmart.sources.zip_csv import read_zip_csv
 
 __all__ = [
+    "certificate",
     "WHOLE_PERIOD",
     "Lakehouse",
     "PanelOptions",
