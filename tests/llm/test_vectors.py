@@ -46,7 +46,6 @@ def test_many_shards_and_norms(spark, monkeypatch):
     rows = [(i, v.tolist()) for i, v in enumerate(x)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     monkeypatch.setattr(vectors, "SHARD", 1000)
-    monkeypatch.setattr(vectors, "CANDIDATES", 3000)
     got = by_query(vectors.search(df, df.where("vec_id % 20 = 0")))
     want = brute(rows, rows[::20])
     assert recall(got, want) >= 0.9
@@ -70,7 +69,7 @@ def test_stop_is_fitted_where_candidates_are_few(spark, monkeypatch):
     rows = [(i, v.tolist()) for i, v in enumerate(x)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     monkeypatch.setattr(vectors, "SHARD", 1000)
-    monkeypatch.setattr(vectors, "CANDIDATES", 600)
+    monkeypatch.setattr(vectors, "LEAST", 600)
     got = by_query(vectors.search(df, df.where("vec_id % 20 = 0")))
     assert recall(got, brute(rows, rows[::20])) >= 0.9
 
@@ -81,7 +80,7 @@ def test_one_very_long_vector_leaves_no_query_without_rows(spark, monkeypatch):
     rows = [(i, v.tolist()) for i, v in enumerate(x)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     monkeypatch.setattr(vectors, "SHARD", 250)
-    monkeypatch.setattr(vectors, "CANDIDATES", 600)
+    monkeypatch.setattr(vectors, "LEAST", 600)
     scored = vectors._scored
     monkeypatch.setattr(vectors, "_scored", lambda size: _bounded(scored(size), 500))
     got = by_query(vectors.search(df, df.where("vec_id % 20 = 0")))

@@ -7,7 +7,8 @@ candidates are all vectors that share ``d`` bits with it in some tree. It stops
 the trees together hold enough. All candidates there are scored in double precision.
 
 How many are enough is measured on each table: up to ``SAMPLE`` of the queries are compared with every point, and the
-total is the smallest at which the trees hold ``TARGET`` of their true neighbours, ``CANDIDATES`` at least. A query
+total is the smallest at which the trees hold ``TARGET`` of their true neighbours, and so many at least that they hold
+more distinct points than are asked for, whatever trees share. This rule is the same at every size of the table. A query
 whose total reaches the number of points is compared with every point once, which is exact and less work: so it is for
 vectors without clusters, whose neighbours are hardly nearer than others, and for queries whose prefixes are empty.
 
@@ -41,9 +42,10 @@ from tripmart.llm.staging import Stage
 
 TREES = 24
 BITS = 62
-CANDIDATES = 32_000
 NEAREST = 20
 SHARD = 100_000
+#: Candidates of all trees together that are taken at least.
+LEAST = TREES * (NEAREST + 1)
 #: Queries that the stop is fitted on, and the share of their neighbours that it is to reach: 0.9 and a margin for chance.
 SAMPLE = 200
 TARGET = 0.93
@@ -185,13 +187,9 @@ def _scored(size: int):
 
 def _stop(points: DataFrame, asked: DataFrame, held: DataFrame, size: int, longest: float, count: int) -> int:
     """How many candidates are enough, by comparing a bounded sample of queries with all points."""
-    # So many that they hold more distinct points than are asked for, whatever trees share.
-    least = max(CANDIDATES, TREES * (NEAREST + 1))
-    if least >= count:
-        return least
     sample = asked.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).collect()
     if not sample:
-        return least
+        return LEAST
     x = np.array([r.v for r in sample], np.float64)
     near = points.mapInArrow(_nearest(size, x), "asked long, id long, score double, v array<double>")
     near = near.withColumn("place", F.row_number().over(Window.partitionBy("asked").orderBy(F.desc("score"), "id")))
@@ -206,7 +204,7 @@ def _stop(points: DataFrame, asked: DataFrame, held: DataFrame, size: int, longe
     for row in held.where(F.col("id").isin(list(rows))).collect():
         totals[rows[row.id], row["at"]] = row.n
     some = [i for i, depths in enumerate(reached) if depths]
-    return max(least, _fitted(totals[some], [np.array(reached[i]) for i in some], count)) if some else least
+    return max(LEAST, _fitted(totals[some], [np.array(reached[i]) for i in some], count)) if some else LEAST
 
 
 def search(vectors: DataFrame, queries: DataFrame, stage: Stage | None = None, nearest: int = NEAREST) -> DataFrame:
