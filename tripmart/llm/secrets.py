@@ -8,16 +8,22 @@ Base spans come from three patterns, leftmost and non-overlapping for each kind:
 
 ``random`` spans are added to them. Every run of 20 or more token characters of at least two kinds (capitals,
 small letters, digits) is a candidate; runs inside a base span aren't. Its encoding is inferred from its
-characters (hexadecimal, base 32, or letters and digits of base 64), and three hypotheses of order are tested:
+characters (hexadecimal, base 32, one case with digits, letters, or base 64), and three statistics are taken:
 
-- chi-squared: the alphabet is used as unevenly as in text, by the index of coincidence of text;
-- runs: the kind of character changes as seldom as in words and identifiers;
-- serial correlation: neighbours depend on each other as in counted or repeated sequences.
+- chi-squared: how unevenly the alphabet is used. In text it is by the index of coincidence of text;
+- runs: how often the kind of character changes. In words and identifiers it does so seldom;
+- serial correlation of neighbours. In counted or repeated sequences they depend on each other.
 
-Each statistic is set against its distribution under order for the token's own length, so short tokens can't
-reach small values. A token counts as random only if all three are rejected: its p-value is the largest of the
-three. Over all candidates of the table the Benjamini-Hochberg rule holds the expected share of false ones at
-``FALSE_SHARE``. It needs the number of candidates by p-value only, in ``BINS`` bins, however large the table is.
+Each is set against its distribution under order, and under uniform draws from the encoding's alphabet, for the
+token's own length, so short tokens can't reach small values. A token is reported if
+
+- no test speaks against randomness: each statistic lies within ``PLAUSIBLE`` deviations of what uniform draws give; and
+- order is rejected in both its forms: that of words, by alphabet and runs together, and that of sequences, by runs and
+  serial correlation together (sums of two normal scores). Its p-value is the larger of the two.
+
+Over all candidates of the table the Benjamini-Hochberg rule holds the expected share of false ones at
+``FALSE_SHARE``; candidates that aren't plausible count with a p-value of 1. It needs the number of candidates by
+p-value only, in ``BINS`` bins, however large the table is.
 
 NULL texts count as empty. Positions are code points, ends exclusive. Spans are sorted by start and kind.
 """
@@ -41,11 +47,14 @@ ASSIGN_LOOK = r"""(?i)(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 KINDS = ("assign", "access", "hex", "random")
 FALSE_SHARE = 0.01
 BINS = 300
-#: The index of coincidence of text in its own alphabet, how often the kind of character changes in words
-#: and identifiers, and the correlation of neighbours in ordered sequences.
+#: The index of coincidence of text in its own alphabet, how often the kind of character changes in words and
+#: identifiers (twice in seven characters, for a word and what divides it), and the correlation of neighbours in
+#: ordered sequences.
 TEXT_COINCIDENCE = 0.066
-TEXT_CHANGES = 0.15
+TEXT_CHANGES = 0.28
 ORDER_CORRELATION = 0.5
+#: Deviations within which a statistic agrees with uniform draws: 0.05 % of random tokens are outside on each side.
+PLAUSIBLE = 3.3
 BLOCK = 256
 REDACTED = "[SECRET]"
 
@@ -57,26 +66,30 @@ def _let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
-def _prefix(lengths: Column) -> Column:
+def _prefix(values: Column, add: Callable[[Column, Column], Column]) -> Column:
     """0 and the running totals of a short array."""
-    return F.aggregate(
-        lengths, F.array(F.lit(0)), lambda done, x: F.concat(done, F.array(F.element_at(done, -1) + x))
-    )
+    return F.aggregate(values, F.array(F.lit(0)), lambda done, x: F.concat(done, F.array(add(F.element_at(done, -1), x))))
 
 
-def _before(lengths: Column) -> Column:
+def _before(values: Column, add: Callable[[Column, Column], Column] = lambda a, b: a + b) -> Column:
     """The total before each element, in blocks, as a growing array is copied at every step."""
-    def blocks(lengths: Column) -> Column:
-        count = F.ceil(F.size(lengths) / F.lit(BLOCK)).cast("int")
-        return F.transform(F.sequence(F.lit(1), count), lambda b: F.slice(lengths, (b - 1) * BLOCK + 1, F.lit(BLOCK)))
+    def blocks(values: Column) -> Column:
+        count = F.ceil(F.size(values) / F.lit(BLOCK)).cast("int")
+        cut = F.transform(F.sequence(F.lit(1), count), lambda b: F.slice(values, (b - 1) * BLOCK + 1, F.lit(BLOCK)))
+        return F.when(count > 0, cut).otherwise(F.array().cast("array<array<int>>"))
 
     def joined(parts: Column) -> Column:
-        totals = _prefix(F.transform(parts, lambda p: F.aggregate(p, F.lit(0), lambda a, x: a + x)))
+        totals = _prefix(F.transform(parts, lambda p: F.aggregate(p, F.lit(0), add)), add)
         bases = F.slice(totals, F.lit(1), F.size(parts))
-        inside = lambda p, base: F.transform(F.slice(_prefix(p), F.lit(1), F.size(p)), lambda v: v + base)
+        inside = lambda p, base: F.transform(F.slice(_prefix(p, add), F.lit(1), F.size(p)), lambda v: add(v, base))
         return F.flatten(F.zip_with(parts, bases, inside))
 
-    return _let(_let(lengths, blocks), joined)
+    return _let(_let(values, blocks), joined)
+
+
+def _reached(rows: Column) -> Column:
+    """For each of sorted ``rows`` (with ``end``) the greatest end of those before it, 0 for the first."""
+    return _before(F.transform(rows, lambda x: x["end"]), lambda a, b: F.greatest(a, b))
 
 
 def _spans(text: Column, pattern: str, kind: int, look: str, value: int = 0, least: int = 0) -> Column:
@@ -109,22 +122,27 @@ def _below(z: Column) -> Column:
 
 
 def _p_value(token: Column) -> Column:
-    """The largest p-value of the three hypotheses of order."""
+    """The larger p-value of the two forms of order; 1 for tokens that uniform draws don't explain."""
     n = F.length(token).cast("double")
-    hexadecimal = token.rlike("^([0-9a-f]+|[0-9A-F]+)$")
-    base32 = token.rlike("^[A-Z2-7]+=*$")
-    k = F.when(hexadecimal, 16.0).when(base32, 32.0).otherwise(64.0)
+    # Symbols of the encoding, and how often two neighbours drawn from it are of different kinds.
+    encodings = [
+        ("^([0-9a-f]+|[0-9A-F]+)$", (6, 10)), ("^[A-Z2-7]+=*$", (26, 6)), ("^([0-9a-z]+|[0-9A-Z]+)$", (26, 10)), ("^[A-Za-z]+$", (26, 26)),
+        ("^[A-Za-z0-9]+$", (26, 26, 10)), ("", (26, 26, 10, 2)),
+    ]
+    symbols = [(look, sum(kinds), 1 - sum((c / sum(kinds)) ** 2 for c in kinds)) for look, kinds in encodings]
+    by_encoding = lambda value: F.coalesce(*[F.when(token.rlike(x[0]), F.lit(float(value(x)))) for x in symbols])
+    k, turns = by_encoding(lambda x: x[1]), by_encoding(lambda x: x[2])
     alphabet = F.array(*[F.lit(c) for c in string.ascii_letters + string.digits + "+/_=-"])
 
     squares = F.aggregate(alphabet, F.lit(0.0), lambda a, c: a + F.pow(n - F.length(F.replace(token, c, F.lit(""))), F.lit(2)))
     uneven = k * squares / n - n
     excess = F.greatest(k * TEXT_COINCIDENCE - 1, 0.5 + F.lit(0.0))
     mean, spread = (k - 1) + (n - 1) * excess, F.sqrt(2 * (k - 1) + 4 * (n - 1) * excess)
-    by_alphabet = _below((uneven - mean) / spread)
+    by_alphabet = (uneven - mean) / spread
 
     changes = F.length(F.regexp_replace(token, "(?<=[a-z])[^a-z]|(?<=[A-Z])[^A-Z]|(?<=[0-9])[^0-9]|(?<=[^A-Za-z0-9])[A-Za-z0-9]", "~~"))
     changes = changes - n
-    by_runs = _below(((n - 1) * TEXT_CHANGES + 0.5 - changes) / F.sqrt((n - 1) * TEXT_CHANGES * (1 - TEXT_CHANGES)))
+    by_runs = ((n - 1) * TEXT_CHANGES + 0.5 - changes) / F.sqrt((n - 1) * TEXT_CHANGES * (1 - TEXT_CHANGES))
 
     def correlation(codes: Column) -> Column:
         total, count = F.aggregate(codes, F.lit(0.0), lambda a, c: a + c), F.size(codes).cast("double")
@@ -137,8 +155,16 @@ def _p_value(token: Column) -> Column:
 
     codes = F.filter(F.transform(F.split(token, ""), lambda c: F.ascii(c).cast("double")), lambda c: c > 0)
     serial = _let(codes, correlation)
-    by_order = _below((serial - ORDER_CORRELATION) * F.sqrt(n) / (1 - ORDER_CORRELATION**2))
-    return F.greatest(by_alphabet, by_runs, by_order)
+    by_order = (serial - ORDER_CORRELATION) * F.sqrt(n) / (1 - ORDER_CORRELATION**2)
+
+    as_drawn = (
+        (F.abs(uneven - (k - 1)) <= PLAUSIBLE * F.sqrt(2 * (k - 1)))
+        & (F.abs(changes - (n - 1) * turns) <= PLAUSIBLE * F.sqrt((n - 1) * turns * (1 - turns)) + 0.5)
+        & (serial * F.sqrt(n) <= PLAUSIBLE)
+    )
+    two = 2**0.5
+    order = _below(F.greatest((by_alphabet + by_runs) / two, (by_runs + by_order) / two))
+    return F.when(as_drawn, order).otherwise(F.lit(1.0))
 
 
 def _candidates(text: Column, base: Column) -> Column:
@@ -148,13 +174,19 @@ def _candidates(text: Column, base: Column) -> Column:
     mixed = F.filter(
         F.arrays_zip(spans.alias("span"), tokens.alias("token")), lambda x: x["token"].rlike("[a-z].*[A-Z0-9]|[A-Z].*[a-z0-9]|[0-9].*[A-Za-z]")
     )
-    covers = lambda x: lambda b: (b["start"] <= x["span"]["start"]) & (b["end"] >= x["span"]["end"])
-    rows = F.when(text.rlike(CANDIDATE), _let(base, lambda known: F.filter(mixed, lambda x: ~F.exists(known, covers(x)))))
+    # Known spans and candidates by start, known ones first: a candidate lies inside one if one reaches its end.
+    row = "array<struct<start:int,kind:int,end:int,stop:int,token:string>>"
+    known = F.transform(base, lambda b: F.struct(b["start"], b["kind"], b["end"], b["end"], F.lit("")))
+    asked = F.transform(mixed, lambda x: F.struct(x["span"]["start"], F.lit(3), F.lit(0), x["span"]["end"], x["token"]))
+    uncovered = lambda every: F.filter(
+        F.arrays_zip(every.alias("row"), _reached(every).alias("reached")), lambda x: (x["row"]["kind"] == 3) & (x["reached"] < x["row"]["stop"])
+    )
+    rows = F.when(text.rlike(CANDIDATE), _let(F.array_sort(F.concat(known.cast(row), asked.cast(row))), uncovered))
     tested = F.transform(
         rows,
         lambda x: F.struct(
-            x["span"]["start"].alias("start"), x["span"]["end"].alias("end"),
-            F.least(F.floor(-10 * F.log10(_p_value(x["token"]))), F.lit(BINS)).cast("int").alias("bin"),
+            x["row"]["start"].alias("start"), x["row"]["stop"].alias("end"),
+            F.least(F.floor(-10 * F.log10(_p_value(x["row"]["token"]))), F.lit(BINS)).cast("int").alias("bin"),
         ),
     )
     return F.coalesce(tested, F.array().cast("array<struct<start:int,end:int,bin:int>>"))
@@ -213,17 +245,22 @@ def redact(docs: DataFrame) -> DataFrame:
     filled = F.coalesce(text, F.lit(""))
     base = base_spans(filled)
     spans = _all_spans(base, _candidates(filled, base), least)
-    # A span that begins inside what is replaced already only extends it.
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    step = lambda done, s: F.struct(
-        F.greatest(done["at"], s["end"]).alias("at"),
-        F.when(s["start"] < done["at"], done["out"])
-        .otherwise(F.concat(done["out"], F.substring(filled, done["at"] + 1, s["start"] - done["at"]), F.lit(REDACTED)))
-        .alias("out"),
+    # What is kept lies between spans; a span that begins inside what is replaced already only extends it. Pieces are cut from
+    # a form of four bytes a code point, where no text before them has to be walked through; the mark in front of each
+    # is taken off again by the decoder.
+    wide, mark = F.encode(filled, "UTF-32"), F.lit(bytearray(b"\x00\x00\xfe\xff"))
+    last = F.struct(F.length(filled), F.lit(0), F.length(filled))
+    between = lambda rows: F.filter(
+        F.arrays_zip(rows.alias("row"), _reached(rows).alias("from")), lambda x: x["row"]["start"] >= x["from"]
     )
-    finish = lambda done: F.concat(done["out"], F.substring(filled, done["at"] + 1, F.length(filled)))
+    kept = _let(F.concat(spans, F.array(last).cast(_SPAN)), between)
+
+    def joined(wide: Column) -> Column:
+        piece = lambda x: F.substring(wide, 4 * x["from"] + 1, 4 * (x["row"]["start"] - x["from"]))
+        return F.array_join(F.transform(kept, lambda x: F.decode(F.concat(mark, piece(x)), "UTF-32")), REDACTED)
+
     secret = filled.rlike(ASSIGN_LOOK) | filled.rlike(ACCESS) | filled.rlike(HEX) | filled.rlike(CANDIDATE)
-    clean = F.when(secret, F.aggregate(spans, start, step, finish)).otherwise(text)
+    clean = F.when(secret, _let(wide, joined)).otherwise(text)
     # The length is taken in a step of its own, from the finished text.
     flag = next(name for name in (f"redacted_{i}" for i in range(len(docs.columns) + 1)) if name not in docs.columns)
     done = docs.withColumns({flag: secret, "text": clean})
