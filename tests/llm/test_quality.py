@@ -28,6 +28,22 @@ def test_labels_of_held_out_rows_and_negatives_dont_matter(spark):
     assert np.array_equal(one.weights, other.weights)
 
 
+def test_labels_of_bad_texts_are_not_looked_at(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    one = quality.fit(docs, labels)
+    good = labels.where("quality = 1")
+    assert np.array_equal(one.weights, quality.fit(docs, good).weights)
+
+
+def test_prior_is_estimated_from_scores():
+    rng = np.random.default_rng(2)
+    for share in (0.2, 0.5, 0.8):
+        good = rng.normal(2, 1, 4000)
+        web = np.where(rng.random(4000) < share, rng.normal(2, 1, 4000), rng.normal(-2, 1, 4000))
+        assert abs(quality.class_prior(good, web) - share) < 0.06
+    assert quality.class_prior(np.zeros(0), np.ones(3)) == 0.5
+
+
 def test_non_negative_risk_learns_from_positives_only():
     rng = np.random.default_rng(1)
     width = len(quality.MEASURES)

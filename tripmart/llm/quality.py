@@ -6,6 +6,10 @@ written without any negative example, and it is kept from going below zero, wher
 
     prior * loss(good, +1) + max(0, loss(web, -1) - prior * loss(good, -1))
 
+The prior is estimated from the same two samples. A first classifier is trained on one half of them with a prior of one
+half and scores the other half. Above any threshold the web has at least ``prior`` times the share of good text there,
+so the smallest ratio of the two shares, with allowance for chance, is the estimate (``class_prior``).
+
 The score is a logistic function of measures of form (``MEASURES``), their squares and products. They are
 taken over whole texts; language, source and ids are no inputs. The parameters are fitted on the driver
 from at most ``SAMPLE`` trusted and ``SAMPLE`` web texts, chosen by hash, which bounds the work at any size.
@@ -124,6 +128,19 @@ def train(good: np.ndarray, web: np.ndarray, prior: float, rounds: int = ROUNDS)
     return Model(mean, spread, weights, prior)
 
 
+def class_prior(good: np.ndarray, web: np.ndarray) -> float:
+    """The share of good text in the web, from scores of both that were not trained on."""
+    if not len(good) or not len(web):
+        return 0.5
+    cuts = np.unique(good)
+    above = lambda scores: 1 - np.searchsorted(np.sort(scores), cuts, "left") / len(scores)
+    share, whole = above(web), above(good)
+    # Deviations of both shares that are exceeded once in ten times; the cut is chosen by the upper end.
+    allowance = np.sqrt(np.log(20) / (2 * len(web))) + np.sqrt(np.log(20) / (2 * len(good)))
+    best = np.argmin((share + allowance) / whole)
+    return float(np.clip(share[best] / whole[best], 0.05, 0.95))
+
+
 def held_out(doc_id: Column) -> Column:
     """Rows whose labels are never looked at."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
@@ -142,7 +159,6 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """Learns from at most ``sample`` trusted and ``sample`` unlabelled rows that aren't held out."""
     marks = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
     marks = marks.where(~held_out(F.col("doc_id"))).where("doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    prior = marks.agg(F.avg("quality")).first()[0]
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     chance = F.xxhash64("doc_id")
     good = marks.where("quality = 1").orderBy(chance, "doc_id").limit(sample).select("doc_id", F.lit(True).alias("good"))
@@ -157,7 +173,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     if not trusted.any() or trusted.all():
         width = len(MEASURES)
         return Model(np.zeros(width), np.ones(width), np.zeros(_expand(np.zeros((1, width))).shape[1]), 0.5)
-    return train(x[trusted], x[~trusted], float(np.clip(prior, 0.05, 0.95)))
+    good, web = x[trusted], x[~trusted]
+    # Rows are sorted by id, so every other one is a half like the other.
+    first = train(good[::2], web[::2], 0.5)
+    return train(good, web, class_prior(first.score(good[1::2]), first.score(web[1::2])))
 
 
 def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
