@@ -83,3 +83,18 @@ def test_shingles_follow_the_words():
     parts = [list(values[a:b]) for a, b in zip(bounds[:-1], bounds[1:])]
     assert [len(p) for p in parts] == [2, 0, 2, 1, 1]
     assert parts[0][0] == parts[2][1] and len({*parts[0], *parts[2], *parts[3], *parts[4]}) == 5
+
+
+def test_large_regions_without_their_base(spark, monkeypatch):
+    """Two texts that differ in a few words, hundreds of edits of each at all distances, and neither text itself."""
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(4))
+    base = [word() for _ in range(130)]
+    other = base[:100] + [word() for _ in range(4)] + base[104:]
+    texts = [near(rng, base, rng.randrange(2, 11)) for _ in range(300)] + [near(rng, other, rng.randrange(2, 11)) for _ in range(150)]
+    seen = []
+    inner = jaccard_join._recentred
+    monkeypatch.setattr(jaccard_join, "_recentred", lambda members, *a: seen.append(members.count()) or inner(members, *a))
+    got = joined(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4))
+    assert got == sorted(((i, *x) for i, x in components(list(enumerate(texts))).items()), key=str)
+    assert seen[0] > 100

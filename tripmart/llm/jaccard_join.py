@@ -7,10 +7,11 @@ Distance is 1 - intersection / union, a metric; two documents link at ``LIMIT``
    hold it together. The most central of them, whose head the others share most, is their pivot. A set's
    distance to each pivot that shares much of its head is worked out in full; the nearest is its home, and the
    sets of one home are a Voronoi region.
-3. Inside a region sets are known by their differences from its pivot. By the triangle inequality two sets that
-   aren't linked through the pivot can only link if they share more than 3/7 of the differences of either; in
-   large regions the differences are joined in turn, after all sets are left out whose differences
-   nobody shares. The size of two differences and of what they share gives the exact distance.
+3. Inside a large region sets are known by their differences from a centre: the pivot's set, changed in all that
+   more than half of the region differ in. Sets close enough to it are linked to the closest of them. By the
+   triangle inequality all others can only link if they share some of their differences; these are joined in turn,
+   after all sets are left out whose differences nobody shares enough of. The size of two differences and of
+   what they share gives the exact distance. Small regions are compared pair by pair.
 4. Windows. Two sets of different regions with distance at most LIMIT differ in at most a quarter of the larger
    one, so each shares an eighth of its head with the other (the triangle inequality of the symmetric
    difference). A set is replicated to all shingles inside that window; pairs of different regions that
@@ -172,10 +173,11 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(out, ["key", "n", "pivot", "pivot_n", "shared"])
 
 
-def _beside(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _beside(pairs: DataFrame, sets: DataFrame, centres: DataFrame | None = None) -> DataFrame:
     """The sets of pairs ``key, n, pivot, pivot_n``, sorted by pivot, each after its pivot's own set.
 
-    A pivot with very many pairs is spread over several tasks.
+    ``centres`` (``key, n, members``) are sets to take in place of the pivots' own. A pivot with very many pairs
+    is spread over several tasks.
     """
     spread = partitions(pairs.sparkSession)
     many = pairs.groupBy("pivot", "pivot_n").agg((F.count("*") / SHARE).cast("int").alias("salts"))
@@ -186,7 +188,7 @@ def _beside(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         .select("pivot", "pivot_n", salt.cast("int").alias("salt"), F.lit(False).alias("is_own"), "key", "n", "members")
     )
     # The same columns as above, so that the sets are dealt out once for both.
-    own = many.select(F.col("pivot").alias("key"), F.col("pivot_n").alias("n"), "salts").join(sets, ["key", "n"])
+    own = many.select(F.col("pivot").alias("key"), F.col("pivot_n").alias("n"), "salts").join(sets if centres is None else centres, ["key", "n"])
     own = own.select(
         F.col("key").alias("pivot"), F.col("n").alias("pivot_n"), F.explode(F.sequence(F.lit(0), "salts")).alias("salt"),
         F.lit(True).alias("is_own"), "key", "n", "members",
@@ -233,6 +235,34 @@ def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(out, ["key", "n", "pivot", "pivot_n", "shingle"])
 
 
+def _majority(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Differences held by more than half of a pivot's sets in a batch, and by how many; rows as for ``_compare``."""
+    current, own = None, np.zeros(0, np.uint64)
+    for batch in batches:
+        pivot, pivot_n = (np.asarray(batch.column(c)) for c in ("pivot", "pivot_n"))
+        column = batch.column("members")
+        offsets, values = np.asarray(column.offsets), np.asarray(column.values).view(np.uint64)
+        is_own = np.asarray(batch.column("is_own").cast(pa.int8()))
+        starts = np.flatnonzero(_starts(pivot, pivot_n) == np.arange(batch.num_rows))
+        out = []
+        for begin, end in zip(starts, [*starts[1:], batch.num_rows]):
+            found = []
+            for i in range(begin, end):
+                members = values[offsets[i] : offsets[i + 1]]
+                if is_own[i]:
+                    current, own = (pivot[i], pivot_n[i]), members.copy()
+                elif current == (pivot[i], pivot_n[i]):
+                    found.append(np.setxor1d(own, members, assume_unique=True))
+            if found:
+                shingle, held = np.unique(np.concatenate(found), return_counts=True)
+                shingle, held = shingle[2 * held > len(found)], held[2 * held > len(found)]
+                cell = [np.full(len(shingle), x[begin]) for x in (pivot, pivot_n)]
+                out.append([*cell, shingle.view(np.int64), held])
+        if out:
+            columns = [pa.array(np.concatenate(c)) for c in zip(*out)]
+            yield pa.RecordBatch.from_arrays(columns, ["pivot", "pivot_n", "shingle", "held"])
+
+
 def _starts(*columns: np.ndarray) -> np.ndarray:
     """For each row the first row with equal columns."""
     new = np.ones(len(columns[0]), bool)
@@ -430,6 +460,14 @@ def _heavy_pairs(heavy: DataFrame, sets: DataFrame, marks: DataFrame, stage: Sta
     return _cross_pairs(rare.select("shingle", "key", "n").join(marks, ["key", "n"]), None).drop("met")
 
 
+def _possible() -> Column:
+    """Links keep within a seventh of both sizes; so does the difference of their distances to the pivot, or a centre."""
+    return (
+        (F.struct("key", "n") != F.struct("other_key", "other_n")) & (F.col("component") != F.col("other_component"))
+        & (7 * F.abs(F.col("apart") - F.col("other_apart")) <= F.col("n") + F.col("other_n"))
+    )
+
+
 def _within(homes: DataFrame, first: DataFrame, sets: DataFrame, stage: Stage) -> tuple[DataFrame, DataFrame]:
     """Pairs to compare in small regions, and links (``u, v``) found in large ones, of sets of one region."""
     apart = F.col("n") + F.col("pivot_n") - 2 * F.col("shared")
@@ -442,50 +480,82 @@ def _within(homes: DataFrame, first: DataFrame, sets: DataFrame, stage: Stage) -
     one = members.where("loose")
     names = ["key", "n", "apart", "component"]
     other = members.select("pivot", "pivot_n", *[F.col(c).alias(f"other_{c}") for c in names])
-    # Links keep within a seventh of both sizes; so does the difference of their distances to the pivot.
-    possible = (
-        (F.struct("key", "n") != F.struct("other_key", "other_n")) & (F.col("component") != F.col("other_component"))
-        & (7 * F.abs(F.col("apart") - F.col("other_apart")) <= F.col("n") + F.col("other_n"))
-    )
-    small = one.where(F.col("size") <= CROWD).join(other, ["pivot", "pivot_n"]).where(possible)
+    small = one.where(F.col("size") <= CROWD).join(other, ["pivot", "pivot_n"]).where(_possible())
     small = small.select("key", "n", F.col("other_key").alias("pivot"), F.col("other_n").alias("pivot_n")).where(_FITS)
     first_key = F.struct("key", "n") > F.struct("pivot", "pivot_n")
     small = small.select(*[F.when(first_key, F.col(a)).otherwise(F.col(b)).alias(a) for a, b in (("key", "pivot"), ("n", "pivot_n"), ("pivot", "key"), ("pivot_n", "n"))])
 
-    large = members.where(F.col("size") > CROWD)
-    rows = _beside(large.select("key", "n", "pivot", "pivot_n"), sets)
+    return small, _recentred(members.where(F.col("size") > CROWD), sets, stage)
+
+
+def _recentred(members: DataFrame, sets: DataFrame, stage: Stage) -> DataFrame:
+    """Links (``u, v``) between sets of one large region.
+
+    What the pivot has of its own differs from nearly all sets of its region. So distances are taken from a centre:
+    the pivot's set, changed in all that more than half of the region differ in. Any centre gives exact results.
+    """
+    cell, names = ["pivot", "pivot_n"], ["key", "n", "apart", "component"]
+    pairs = members.select("key", "n", *cell)
+    changes = _beside(pairs, sets).mapInArrow(_majority, "pivot long, pivot_n long, shingle long, held long")
+    changes = changes.groupBy(*cell, "shingle").agg(F.sum("held").alias("held"))
+    sizes = members.groupBy(*cell).agg(F.count("*").alias("size"))
+    changes = sizes.join(changes, cell, "left").groupBy(*cell).agg(
+        F.collect_list(F.when(F.col("held") * 2 > F.col("size"), F.col("shingle"))).alias("changed")
+    )
+    of_pivot = changes.select(F.col("pivot").alias("key"), F.col("pivot_n").alias("n"), "changed")
+    centre = F.array_union(F.array_except("members", "changed"), F.array_except("changed", "members"))
+    centres = stage.table(sets.join(of_pivot, ["key", "n"]).select("key", "n", centre.alias("members")), "centres")
+
+    rows = _beside(pairs, sets, centres)
     rows = rows.mapInArrow(_differences, "key long, n long, pivot long, pivot_n long, shingle long").distinct()
     rows = stage.table(rows, "differences")
-    cell = ["pivot", "pivot_n"]
     shared = rows.groupBy(*cell, "shingle").agg(F.count("*").alias("held"), F.min("key").alias("key"), F.min("n").alias("n"))
     shared = stage.table(shared, "difference-counts")
-    lone = shared.where("held = 1").groupBy(*cell, "key", "n").agg(F.count("*").alias("lone"))
-    large = large.join(lone, [*cell, "key", "n"], "left").withColumn("lone", F.coalesce("lone", F.lit(0)))
-    # x, loose, and y can only link if x.apart - x.n / 7 <= y.apart - 2 * y.lone + y.n / 7, and the same with x.lone.
+    # For each set its distance from the centre, and how many of these differences are its alone.
+    apart = rows.groupBy(*cell, "key", "n").agg(F.count("*").alias("apart"), F.lit(0).alias("lone"))
+    lone = shared.where("held = 1").groupBy(*cell, "key", "n").agg(F.lit(0).alias("apart"), F.count("*").alias("lone"))
+    none = members.select(*cell, "key", "n", F.lit(0).alias("apart"), F.lit(0).alias("lone"), "component", F.col("loose").alias("free"))
+    missing = [F.lit(None).cast("long").alias("component"), F.lit(None).cast("boolean").alias("free")]
+    measures = none.union(apart.select("*", *missing)).union(lone.select("*", *missing)).groupBy(*cell, "key", "n")
+    large = measures.agg(F.sum("apart").alias("apart"), F.sum("lone").alias("lone"), F.max("component").alias("component"), F.max("free").alias("free"))
+    # x and y can only link if x.need <= y.reach and y.need <= x.reach; they do link if x.need + y.need <= 0.
     reach, need = 7 * (F.col("apart") - 2 * F.col("lone")) + F.col("n"), 7 * F.col("apart") - F.col("n")
     large = stage.table(large.withColumn("reach", reach).withColumn("need", need), "large")
-    most = large.groupBy(*cell).agg(F.max("reach").alias("most"))
-    loose = large.where("loose").join(most, cell).where("need <= most").drop("most")
-    least = loose.groupBy(*cell).agg(F.min("need").alias("fewest"), F.max("reach").alias("loose_reach"))
-    rest = large.join(least, cell).where("reach >= fewest and need <= loose_reach").drop("loose_reach")
-    both = rows.join(shared.where("held > 1").select(*cell, "shingle", "held"), [*cell, "shingle"])
-    left = both.join(loose.select(*cell, *names, "need", "reach"), [*cell, "key", "n"]).drop("held")
-    right = both.join(rest.select(*cell, *names, "need", "reach", "fewest"), [*cell, "key", "n"])
+    bounds = large.groupBy(*cell).agg(
+        F.min(F.struct("need", "free", "key", "n")).alias("nearest"), F.max("reach").alias("most"), F.max("need").alias("high"),
+        *[f(F.when(F.col("free"), F.col(c))).alias(f"free_{name}") for f, c, name in ((F.max, "reach", "most"), (F.max, "need", "high"), (F.min, "need", "low"))],
+    )
+    # Where the nearest links with the pivot, only sets that don't ("free") can be loose.
+    bounds = bounds.withColumn("low", F.col("nearest.need")).select(
+        *cell, "nearest", "low", "most", F.col("nearest.free").alias("all"),
+        *[F.when(F.col("nearest.free"), F.col(c)).otherwise(F.col(f"free_{c}")).alias(f"loose_{c}") for c in ("most", "high", "low")],
+    )
+    large = stage.table(large.join(bounds, cell), "bounded")
+    star = large.where("need + low <= 0").select(_node("key", "n").alias("u"), _node("nearest.key", "nearest.n").alias("v"))
+    # All others are loose: what they need is at least this, and they share a difference with any set they link with.
+    floor = F.greatest(1 - F.col("low"), F.col("loose_low"))
+    loose = F.expr("(free or all) and need + low > 0 and need <= most")
+    right = (F.col("reach") >= floor) & (F.col("need") <= F.col("loose_most"))
+    large = large.where("loose_high + low > 0").withColumn("loose", loose).withColumn("right", right).where("loose or right")
     # y shares this many of its differences at least with any loose set of its region, so of its shared differences,
     # rarest first, all but so many are enough to meet it.
-    fewest = F.greatest(F.ceil((F.col("fewest") + F.col("need")) / 14), F.lit(1))
+    fewest = F.greatest(F.ceil((floor + F.col("need")) / 14), F.lit(1)).alias("fewest")
+    candidates = large.select(*cell, *names, "need", "reach", "loose", "right", fewest)
+    both = rows.join(candidates, [*cell, "key", "n"]).join(shared.where("held > 1").select(*cell, "shingle", "held"), [*cell, "shingle"])
+    both = stage.table(both, "shared-differences")
+    left = both.where("loose").select(*cell, "shingle", *names, "need", "reach")
     of_one = Window.partitionBy(*cell, "key", "n")
-    right = right.withColumn("place", F.row_number().over(of_one.orderBy("held", "shingle"))).withColumn("of", F.count("*").over(of_one))
-    right = right.where(F.col("place") <= F.col("of") - fewest + 1)
+    right = both.where("right").withColumn("place", F.row_number().over(of_one.orderBy("held", "shingle"))).withColumn("of", F.count("*").over(of_one))
+    right = right.where("place <= of - fewest + 1")
     right = right.select(*cell, "shingle", *[F.col(c).alias(f"other_{c}") for c in (*names, "need", "reach")])
-    met = left.join(right, [*cell, "shingle"]).where(possible).where("need <= other_reach and other_need <= reach")
+    met = left.join(right, [*cell, "shingle"]).where(_possible()).where("need <= other_reach and other_need <= reach")
     met = met.select(*cell, "key", "n", "apart", "other_key", "other_n", "other_apart").distinct()
     whole = both.groupBy(*cell, "key", "n").agg(F.collect_list("shingle").alias("own"))
     other = whole.select(*cell, F.col("key").alias("other_key"), F.col("n").alias("other_n"), F.col("own").alias("other_own"))
     met = met.join(whole, [*cell, "key", "n"]).join(other, [*cell, "other_key", "other_n"])
     met = met.withColumn("common", F.size(F.array_intersect("own", "other_own")))
     found = met.where("7 * (apart + other_apart - 2 * common) <= n + other_n")
-    return small, found.select(_node("key", "n").alias("u"), _node("other_key", "other_n").alias("v"))
+    return star.union(found.select(_node("key", "n").alias("u"), _node("other_key", "other_n").alias("v")))
 
 
 #: Every pair that shares a shingle, and all that links lead to: for small tables.
