@@ -57,13 +57,16 @@ def measures(texts: pa.Array) -> np.ndarray:
     words = np.maximum(np.diff(first), 1)
     size = np.maximum(np.diff(offsets), 1)
 
+    def counted(flags: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        total = np.zeros(len(flags) + 1, np.int32 if len(flags) < 1 << 31 else np.int64)
+        np.cumsum(flags, out=total[1:])
+        return total[ends] - total[begins]
+
     def per_text(flags: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-        total = np.concatenate([[0], np.cumsum(flags, dtype=np.int64)])
-        return total[bounds[1:]] - total[bounds[:-1]]
+        return counted(flags, bounds[:-1], bounds[1:])
 
     def per_word(flags: np.ndarray) -> np.ndarray:
-        total = np.concatenate([[0], np.cumsum(flags, dtype=np.int32)])
-        return total[ends] - total[begins]
+        return counted(flags, begins, ends)
 
     upper, digit, symbol, mark, line = (kind[data] for kind in _KIND)
     length = ends - begins

@@ -15,6 +15,8 @@ import pyarrow as pa
 SHINGLE = 5
 #: Texts are worked on in groups of about so many bytes, which bounds the memory of a task.
 CHUNK_BYTES = 2 << 20
+#: Words of a group are hashed so many bytes at a time (a longer word alone), as each byte takes a few 8-byte numbers.
+BLOCK_BYTES = 1 << 16
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, *range(9, 14)]] = True
@@ -32,10 +34,10 @@ def _power(base: int, size: int) -> np.ndarray:
     """The powers of ``base`` modulo 2**64, from 0."""
     known = _powers.get(base)
     if known is None or len(known) < size:
-        known = np.full(max(size, CHUNK_BYTES), base, np.uint64)
+        known = np.full(max(size, BLOCK_BYTES), base, np.uint64)
         known[0] = 1
-        known = np.multiply.accumulate(known)
-        if size <= 4 * CHUNK_BYTES:
+        np.multiply.accumulate(known, out=known)
+        if size <= 4 * BLOCK_BYTES:
             _powers[base] = known
     return known[:size]
 
@@ -106,12 +108,22 @@ def spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def word_hashes(data: np.ndarray, begins: np.ndarray, ends: np.ndarray, lower: bool = True) -> np.ndarray:
+    """A hash of each word, wherever it stands; words come in order and don't overlap."""
+    codes = _BYTE[_LOWER] if lower else _BYTE
     inverse = pow(_BASE, -1, 2**64)
-    values = (_BYTE[_LOWER] if lower else _BYTE)[data]
-    values *= _power(_BASE, max(len(data), 1))[: len(data)]
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(values, out=sums[1:])
-    return mixed((sums[ends] - sums[begins]) * _power(inverse, max(len(data), 1))[begins])
+    found = np.empty(len(begins), np.uint64)
+    at = 0
+    while at < len(begins):
+        low = int(begins[at])
+        until = max(at + 1, int(np.searchsorted(ends, low + BLOCK_BYTES, "right")))
+        first, last = begins[at:until] - low, ends[at:until] - low
+        values = codes[data[low : ends[until - 1]]]
+        values *= _power(_BASE, len(values))
+        sums = np.zeros(len(values) + 1, np.uint64)
+        np.cumsum(values, out=sums[1:])
+        found[at:until] = mixed((sums[last] - sums[first]) * _power(inverse, len(values))[first])
+        at = until
+    return found
 
 
 def shingles(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
